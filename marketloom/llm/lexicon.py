@@ -1,0 +1,96 @@
+"""Wording of marketplace listings: niches, problems, product types, page formats and marketing words (fixed values)."""
+
+NICHES = {
+    "bakery": "bread baker|bakery|baker",
+    "guest house": "rental host|guest house",
+    "wedding": "wedding|couple",
+    "ink studio": "ink studio|ink artist",
+    "handmade shop": "handmade shop|shop owner",
+    "dog grooming": "dog grooming|groomer",
+    "candle making": "candle making|candle maker",
+    "soap making": "soap making|soap maker",
+    "photography": "photography|photographer",
+    "lawn care": "lawn care|lawn keeper",
+    "nail salon": "nail salon|nail tech",
+    "cleaning service": "cleaning service|cleaner",
+    "hair salon": "hair salon|hair stylist|stylist",
+    "food truck": "food truck|truck cook",
+    "coffee cart": "coffee cart|barista",
+    "crochet": "crochet|crocheter",
+    "quilting": "quilting|quilter",
+    "resin art": "resin artist|resin art",
+    "laser cutting": "laser cutting|laser maker",
+    "woodworking": "woodworking|woodworker",
+    "vending route": "vending route|route owner",
+    "print on demand": "print on demand|print seller",
+    "freelance design": "freelance designer|freelance design|designer",
+    "house flipping": "house flipping|flipper",
+    "tutoring": "tutoring|tutor",
+    "music lessons": "music lessons|music teacher",
+    "yoga studio": "yoga studio|yoga teacher",
+    "personal training": "personal training|trainer",
+    "beekeeping": "beekeeping|beekeeper",
+    "meal prep": "meal prep|meal cook",
+    "bookkeeping": "bookkeeping|bookkeeper",
+    "market garden": "market garden|grower",
+    "moving service": "moving service|mover",
+    "event planning": "event planning|event planner|planner",
+    "jewelry making": "jewelry making|jeweler",
+    "pottery": "pottery|potter",
+    "balloon decor": "balloon decor|balloon artist",
+    "sewing": "sewing|sewist",
+    "pressure washing": "pressure washing|pressure washer|wash crew|washer|crew",
+    "translation": "translation|translator",
+    "podcasting": "podcasting|podcast host",
+    "bike repair": "bike repair|bike mechanic|mechanic",
+    "car detailing": "car detailing|detailer",
+    "escape room": "escape room|room owner|room host|game host",
+    "florist": "florist",
+    "face painting": "face painting|face painter",
+}
+PROBLEMS = {
+    "inventory": "stock count|stock|inventory",
+    "expense": "expenses|outgoings|expense",
+    "profit": "net profit|profit|margin",
+    "commission": "commission split|commission|sales cut",
+    "roi": "return on investment|payback|roi",
+    "costing": "job costing|unit cost|costing|cost",
+    "pricing": "price setting|price list|rate setting|pricing",
+    "budgeting": "budgeting|spending plan|budget",
+    "fee": "fees|fee|charges",
+}
+TYPES = {
+    "workbook": "work book|exercise book|workbook",
+    "calculator": "estimator sheet|calculator|calc|estimator",
+    "tool": "toolkit|helper|tool",
+    "planner": "planning pages|planner insert|planner|organizer",
+    "tracker": "tracking sheet|tracker|log",
+    "spreadsheet": "spread sheet|spreadsheet|excel file",
+    "template": "fill-in template|template|layout",
+    "sheet": "one-pager|sheet|page",
+}
+QUALIFIERS = ("weekend", "co-op", "mobile", "seasonal", "family-run", "rural", "first-year", "student")
+MARKETING = (
+    "limited offer|bundle offer|no formulas needed|editable|xlsx|printable|new|canva|digital|best seller|gift idea|must have|sale|"
+    "google sheets|premium|top rated|instant download|popular|for small business|easy to use|bundle|offer|free|edition|range|design"
+)
+FUNCTION_WORDS = "a|an|and|at|by|for|from|in|of|on|or|the|to|with|no|x|mm|cm|us|tab|tabs|month|months|year|years|quarter|half|one|two|three|four|five|letter|row|rows|line|lines"
+PAGE_FORMATS = {"a3": "297x420", "a4": "210x297", "a5": "148x210", "us letter": "216x279", "half letter": "140x216"}
+SPANS = {"a year and a half": 18, "half a year": 6, "one quarter": 3, "one year": 12, "two-year": 24, "three-year": 36, "four-year": 48, "five-year": 60, "one-year": 12}
+
+
+def phrases(lexicon: dict[str, str]) -> dict[str, str]:
+    """wording -> meaning, plurals by rule included."""
+    out: dict[str, str] = {}
+    for meaning, words in lexicon.items():
+        for w in words.split("|"):
+            out.setdefault(w, meaning)
+            if not w.endswith("s"):
+                out.setdefault(w + "s", meaning)
+    return out
+
+
+def single_words() -> set[str]:
+    """Every word of the lexicon: what is left of a title without them is distinctive."""
+    texts = [*phrases(NICHES), *phrases(PROBLEMS), *phrases(TYPES), *QUALIFIERS, *MARKETING.split("|"), *FUNCTION_WORDS.split("|"), *SPANS, *PAGE_FORMATS]
+    return {w for t in texts for w in t.replace("-", " ").split()}

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.llm import matching, mixing, readability
 from marketloom.llm.leakage import leaks
 from marketloom.session import table
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.item_pairs(table(spark, sf_dir, "products"))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = matching.item_groups(table(spark, sf_dir, "products"))
+    return groups.join(groups.groupBy("item").agg(F.count("*").alias("listings")), "item").select("product_id", "item", "listings")
+
+
 def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -17,5 +27,30 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
 
 
-QUERIES = {"p6_found": p6_found, "p6_leaks": p6_leaks}
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+
+
+def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.reading_profile(p8_levels(spark, sf_dir))
+
+
+QUERIES = {
+    "p4_found": p4_found,
+    "p4_groups": p4_groups,
+    "p6_found": p6_found,
+    "p6_leaks": p6_leaks,
+    "p7_mixture": p7_mixture,
+    "p7_shares": p7_shares,
+    "p8_levels": p8_levels,
+    "p8_profile": p8_profile,
+}
 SQL: dict[str, str] = {}
