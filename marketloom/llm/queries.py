@@ -5,9 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import matching, mixing, readability
+from marketloom.llm import clusters, matching, mixing, readability, subset
 from marketloom.llm.leakage import leaks
-from marketloom.session import table
+from marketloom.session import staged, table
+
+
+MARKET_FIELDS = ["niche", "product_type", "primary_problem"]
+
+
+def p1_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = subset.varied_subset(table(spark, sf_dir, "product_clusters"), "id", MARKET_FIELDS)
+    return chosen.withColumnRenamed("chosen_id", "cluster_id")
+
+
+def p1_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subset.subset_coverage(table(spark, sf_dir, "product_clusters"), p1_subset(spark, sf_dir), MARKET_FIELDS)
+
+
+def p3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.similarity_clusters(table(spark, sf_dir, "products"))
+
+
+def p3_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_profiles(staged(p3_members(spark, sf_dir), "cluster-members"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +64,10 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_subset": p1_subset,
+    "p1_coverage": p1_coverage,
+    "p3_members": p3_members,
+    "p3_clusters": p3_clusters,
     "p4_found": p4_found,
     "p4_groups": p4_groups,
     "p6_found": p6_found,
