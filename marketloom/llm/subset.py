@@ -68,7 +68,7 @@ def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int
     its lowest id; what covering a market is worth is shared out so that each value of a field is worth the same in all.
     So neither common markets nor common values can fill the subset, and a group holding a large part of all rows costs
     no more than any other. Round one: the markets are spread over parts
-    of at most about `part`, each of which nominates `size` candidates by lazy greedy choice together with the weight
+    (two at least, of about `part` markets at most), each of which nominates `size` candidates by lazy greedy choice together with the weight
     they cover; repeated while more than `part` candidates are left. Round two: a last lazy greedy choice among the
     candidates, which cover the weights of the markets they stand for.
 
@@ -101,8 +101,9 @@ def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int
 
     left = staged(markets.select(*columns), "subset-markets")
     n = left.count()
-    while n > part:
-        parts = -(-n // part)
+    first = True
+    while first or n > part:
+        first, parts = False, max(2, -(-n // part))
         nominated = left.groupBy(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part")).applyInPandas(lambda g: choose(g[columns]), schema)
         left = staged(nominated.select(*columns), "subset-candidates")
         before, n = n, left.count()
