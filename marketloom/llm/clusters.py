@@ -94,7 +94,10 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 
 def reduced_features(products: DataFrame) -> DataFrame:
-    """product_id, x: standardised principal components of the sketched tf-idf vectors of every product."""
+    """product_id, x: first principal components of the standardised sketches of every product's tf-idf vector.
+
+    The components keep their relative spread; the first has variance one.
+    """
     words = staged(hashed_words(products), "cluster-words")
     n = max(words.count(), 1)
     seen = words.select(F.explode("buckets").alias("b")).groupBy("b").count().collect()  # at most BUCKETS rows
@@ -114,10 +117,11 @@ def reduced_features(products: DataFrame) -> DataFrame:
     total = np.frombuffer(bytes(_summed(words.mapInArrow(moments, "part long, v binary")).first()["v"]))
     mean = total[:SKETCH] / n
     covariance = total[SKETCH:].reshape(SKETCH, SKETCH) / n - np.outer(mean, mean)
-    values, vectors = np.linalg.eigh(covariance)
+    deviation = np.sqrt(np.maximum(np.diagonal(covariance), 1e-12))
+    values, vectors = np.linalg.eigh(covariance / np.outer(deviation, deviation))
     top = np.argsort(values)[::-1][:DIMENSIONS]
-    scale = np.sqrt(np.maximum(values[top], 1e-12))
-    axes = vectors[:, top] * np.sign(vectors[np.abs(vectors[:, top]).argmax(0), top]) / scale
+    signed = vectors[:, top] * np.sign(vectors[np.abs(vectors[:, top]).argmax(0), np.arange(len(top))])
+    axes = signed / deviation[:, None] / math.sqrt(max(values[top[0]], 1e-12))
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,18 +162,28 @@ def _log_sum(a: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(a - top[:, None]).sum(1))
 
 
-def _first_mixture(seeds: np.ndarray, k: int) -> Mixture:
-    """k means spread over the seeds (k-means++ with a fixed seed), equal weights, unit covariances."""
+def _first_mixture(seeds: np.ndarray, k: int, trials: int = 8, rounds: int = 10) -> Mixture:
+    """k means spread over the seeds, equal weights, unit covariances.
+
+    Each mean is the best of some draws in proportion to the squared distance from those before (k-means++ with a fixed
+    seed); a few rounds of k-means on the seeds follow.
+    """
     rng = np.random.default_rng(k)
-    means = [seeds[rng.integers(len(seeds))]]
+    means = seeds[rng.integers(len(seeds))][None]
     distance = ((seeds - means[0]) ** 2).sum(1)
     while len(means) < k:
         total = distance.sum()
-        nxt = seeds[rng.choice(len(seeds), p=distance / total)] if total > 0 else seeds[len(means) % len(seeds)]
-        means.append(nxt)
-        distance = np.minimum(distance, ((seeds - nxt) ** 2).sum(1))
+        drawn = rng.choice(len(seeds), trials, p=distance / total) if total > 0 else np.array([len(means) % len(seeds)])
+        options = np.minimum(distance, ((seeds[:, None] - seeds[drawn]) ** 2).sum(2).T)
+        best = options.sum(1).argmin()
+        means, distance = np.vstack((means, seeds[drawn[best]])), options[best]
+    for _ in range(rounds):
+        nearest = (-2 * seeds @ means.T + (means**2).sum(1)).argmin(1)
+        n = np.bincount(nearest, minlength=k)
+        sums = np.stack([np.bincount(nearest, seeds[:, d], minlength=k) for d in range(seeds.shape[1])], axis=1)
+        means = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], means)
     d = seeds.shape[1]
-    return Mixture(np.full(k, 1 / k), np.array(means), np.repeat(np.eye(d)[None], k, 0))
+    return Mixture(np.full(k, 1 / k), means, np.repeat(np.eye(d)[None], k, 0))
 
 
 def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: int, ridge: float, seeds: int = SEEDS) -> tuple[dict[int, Mixture], dict[int, float]]:
@@ -229,7 +243,7 @@ def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: i
 def similarity_clusters(products: DataFrame, components: tuple[int, ...] = COMPONENTS, iterations: int = ITERATIONS, ridge: float = RIDGE) -> DataFrame:
     """product_id, cluster, probability, log_density for every product with an id.
 
-    Features are the first principal components, standardised, of tf-idf weighted hashed words of name, keywords and
+    Features are the first principal components of the standardised sketch of tf-idf weighted words of name, keywords and
     description; the number of components of the mixture is the one with the lowest Bayesian information criterion; a
     product belongs to the component most likely to have made it, `log_density` is its log density there. Clusters are
     numbered from 0 by falling weight. NULL and empty texts are rows without words and lie together; copies get the

@@ -29,9 +29,11 @@ _SENTENCE = re.compile(r"[.!?…]+[\"'”’)\]]*(?=\s|$)|\n\s*\n")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _EN_GROUP = re.compile(r"[aeiouy]+")
 _EN_SILENT = re.compile(r"(?:[^aeiouyl]|[aeiouy]l)e$|[^aeiouytd]ed$|[^aeiouyszxhgc]es$")
-_EN_SPLIT = re.compile(r"i[aou](?!us)|[aeiou]ing|eo|ua(?=[lt])|[^aeiouy]les?$")
+_EN_SPLIT = re.compile(r"i[aou](?!us)|[aeiou]ing|eo|ua(?=[lt])|[^aeiouy]les$|(?<=[aeiouy][^aeiouy])ea$")
 _EN_JOIN = re.compile(r"(?:ci|ti|si|gi)[aou]|[aeiouy]eau")
 _ROMANCE_GROUP = re.compile("[aeiouáéíóúàâêôãõüy]+")
+_NASAL = re.compile("ã[eo]|õe")  # one syllable
+_APART = re.compile("[iu](?:ã[eo]|õe)")  # two
 _STRONG = frozenset("aeoáéóàâêôãõíú")
 
 
@@ -46,7 +48,7 @@ def romance_syllables(word: str) -> int:
     n = 0
     for group in _ROMANCE_GROUP.findall(word):
         strong = sum(c in _STRONG for c in group)
-        nasal = len(re.findall("ã[eo]|õe", group))
+        nasal = len(_NASAL.findall(group)) - len(_APART.findall(group))
         n += max(1, strong - nasal)
     return max(1, n)
 
