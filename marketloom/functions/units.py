@@ -12,6 +12,8 @@ multiplied; the offset counts only where the unit is that one symbol. A currency
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,7 +99,7 @@ def _vector(dims: dict[str, int]) -> list[int]:
 
 
 def registry() -> dict[str, tuple[list[int], float, float, str | None]]:
-    """symbol -> (exponent vector, scale, offset, ISO code or None); upper and lower case only where not ambiguous."""
+    """symbol -> (exponent vector, scale, offset, ISO code or None), long symbols in lower case too."""
     out: dict[str, tuple[list[int], float, float, str | None]] = {}
     for symbol, (dims, scale, offset) in _UNITS.items():
         out[symbol] = (_vector(dims), scale, offset, None)
@@ -108,10 +110,9 @@ def registry() -> dict[str, tuple[list[int], float, float, str | None]]:
     for iso, symbols in CURRENCY_SYMBOLS.items():
         for symbol in symbols:
             out[symbol.replace(" ", "_")] = (_vector({"money": 1}), 1.0, 0.0, iso)
-    for symbol, entry in list(out.items()):  # kb, KB, usd, Tabs: other cases of a symbol, unless they mean something else
-        for other in (symbol.lower(), symbol.upper(), symbol.capitalize()):
-            if len(symbol) > 1 and not any(k in out and out[k] != entry for k in (other,)):
-                out.setdefault(other, entry)
+    for symbol, entry in list(out.items()):  # the key a symbol in another case is looked up by
+        if len(symbol) > 1:
+            out.setdefault(symbol.lower(), entry)
     return out
 
 
@@ -124,21 +125,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _literal(values: dict, kind: str) -> Column:
+    """A map known at planning time: one literal that the optimizer folds, rather than an expression per entry."""
+    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), kind)
 
 
-def _registry_sql() -> str:
-    entries = (
-        f"{_quoted(symbol)}, named_struct('dims', array({','.join(map(str, vector))}), 'scale', {scale!r}D, 'offset', {offset!r}D, "
-        f"'iso', {_quoted(iso) if iso else 'cast(null as string)'})"
-        for symbol, (vector, scale, offset, iso) in _REGISTRY.items()
-    )
-    return f"map({', '.join(entries)})"
+def _registry_column() -> Column:
+    entries = {s: {"dims": vector, "scale": scale, "offset": offset, "iso": iso} for s, (vector, scale, offset, iso) in _REGISTRY.items()}
+    return _literal(entries, "map<string, struct<dims: array<int>, scale: double, offset: double, iso: string>>")
 
 
-def _iso_sql() -> str:
-    return "map(" + ", ".join(f"{_quoted(s)}, {_quoted(e[3])}" for s, e in _REGISTRY.items() if e[3]) + ")"
+def _iso_column() -> Column:
+    return _literal({s: e[3] for s, e in _REGISTRY.items() if e[3]}, "map<string, string>")
 
 
 _GROUPING = r"['’    ]"
@@ -175,7 +173,7 @@ def unit_factors(expression: Column) -> Column:
         u = F.regexp_replace(u, r"(?i)\b" + phrase.replace(" ", r"\s+") + r"\b", phrase.replace(" ", "_").lower())
     u = F.regexp_replace(F.regexp_replace(u, r"(?i)(^|\s)per\s+", " /"), r"\s*/\s*", " /")
     tokens = F.filter(F.split(u, r"[\s*·]+"), lambda t: t != "")
-    known = F.expr(_registry_sql())
+    known = _registry_column()
 
     def factor(token: Column) -> Column:
         sign = F.when(token.startswith("/"), F.lit(-1)).otherwise(F.lit(1))
@@ -226,7 +224,7 @@ def quantity(text: Column) -> Column:
 
 def currency_code(text: Column) -> Column:
     """ISO code of a currency written in any known way, NULL if unknown or blank."""
-    known = F.expr(_iso_sql())
+    known = _iso_column()
     key = F.regexp_replace(F.trim(text), r"\s+", "_")
     return let(key, lambda k: F.coalesce(F.try_element_at(known, k), F.try_element_at(known, F.lower(k)), F.try_element_at(known, F.upper(k))))
 
