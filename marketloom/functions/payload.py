@@ -31,10 +31,10 @@ def _by_marketplace(marketplace: Column, key: str, pick) -> Column:
 
 
 def with_observation(raw: DataFrame, marketplace: str = "marketplace", external_id: str = "external_id", payload: str = "raw_payload") -> DataFrame:
-    """Add a struct `obs` <listing_id, on_sale, title, amount, currency, seller> read from the payload.
+    """Add obs_listing_id, obs_on_sale, obs_title, obs_amount, obs_currency and obs_seller, read from the payload.
 
-    `on_sale` is NULL where the payload is no JSON object with its marketplace's on-sale field (unreadable or cut off
-    texts, arrays, error answers, NULL, unknown marketplace): such a row is no observation. `listing_id` is the
+    Columns of their own, so that what a plan doesn't use isn't computed. `obs_on_sale` is NULL where the payload is no JSON object with its marketplace's on-sale field (unreadable or cut off
+    texts, arrays, error answers, NULL, unknown marketplace): such a row is no observation. `obs_listing_id` is the
     external id column, or the payload's own id where that is NULL. Text attributes have white space squeezed; an
     attribute that is absent, NULL, blank or unreadable is NULL. Amount and currency are known together or not at all.
     """
@@ -70,12 +70,12 @@ def with_observation(raw: DataFrame, marketplace: str = "marketplace", external_
     readable = F.col(payload).rlike(r"^\s*\{") & j("_broken").isNull()
     parsed = parsed.withColumn("_amount", amount).withColumn("_currency", currency)
     both = F.col("_amount").isNotNull() & F.col("_currency").isNotNull()
-    obs = F.struct(
-        F.coalesce(F.col(external_id), _by_marketplace(m, "own_id", j)).alias("listing_id"),
-        F.when(readable, on).alias("on_sale"),
-        squeeze(_by_marketplace(m, "title", j)).alias("title"),
-        F.when(both, F.col("_amount")).cast("decimal(24,6)").alias("amount"),
-        F.when(both, F.col("_currency")).alias("currency"),
-        squeeze(seller).alias("seller"),
+    return parsed.select(
+        *raw.columns,
+        F.coalesce(F.col(external_id), _by_marketplace(m, "own_id", j)).alias("obs_listing_id"),
+        F.when(readable, on).alias("obs_on_sale"),
+        squeeze(_by_marketplace(m, "title", j)).alias("obs_title"),
+        F.when(both, F.col("_amount")).cast("decimal(24,6)").alias("obs_amount"),
+        F.when(both, F.col("_currency")).alias("obs_currency"),
+        squeeze(seller).alias("obs_seller"),
     )
-    return parsed.withColumn("obs", obs).drop("_json", "_object", "_text", "_amount", "_currency")

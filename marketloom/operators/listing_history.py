@@ -19,13 +19,13 @@ def listing_history(raw: DataFrame, slice_micros: int = DAY) -> DataFrame:
     obs = with_observation(raw.select("id", "marketplace", "external_id", "raw_payload", epoch_micros(raw, "collected_at").alias("at")))
     flat = obs.select(
         "marketplace",
-        F.col("obs.listing_id").alias("external_id"),
+        F.col("obs_listing_id").alias("external_id"),
         "at",
         "id",
-        F.col("obs.on_sale").alias("on_sale"),
-        F.col("obs.title").alias("title"),
-        F.when(F.col("obs.amount").isNotNull(), F.struct("obs.amount", "obs.currency")).alias("price"),
-        F.col("obs.seller").alias("seller"),
+        F.col("obs_on_sale").alias("on_sale"),
+        F.col("obs_title").alias("title"),
+        F.when(F.col("obs_amount").isNotNull(), F.struct(F.col("obs_amount").alias("amount"), F.col("obs_currency").alias("currency"))).alias("price"),
+        F.col("obs_seller").alias("seller"),
     )
     v = version_history(flat, ["marketplace", "external_id"], "at", "id", "on_sale", ["title", "price", "seller"], slice_micros)
     second = F.lit(1_000_000)

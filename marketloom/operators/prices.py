@@ -83,13 +83,13 @@ def resolved_prices(products: DataFrame, raw: DataFrame, rates: DataFrame) -> Da
     )
     observed = (
         with_observation(raw.select("id", "marketplace", "external_id", "raw_payload"))
-        .select(F.col("id").alias("raw_product_id"), F.col("obs.amount").alias("raw_amount"), F.col("obs.currency").alias("raw_currency"))
-        .where("raw_amount is not null and raw_product_id is not null")
+        .select(F.col("id").alias("raw_product_id"), F.col("obs_amount").alias("raw_amount"), F.col("obs_currency").alias("raw_currency"))
+        .where("raw_product_id is not null")
         .groupBy("raw_product_id")
         .agg(F.max(F.struct("raw_amount", "raw_currency")).alias("r"))
     )
     j = p.join(observed, "raw_product_id", "left")
-    known = F.col("r").isNotNull()
+    known = F.col("r.raw_amount").isNotNull()
     text = F.when(~known, F.col("description"))
     j = j.withColumn("text_price", stated_price(text)).withColumn("text_currency", stated_currency(text))
     scale = F.coalesce(unit(stated_scale(text))["scale"], F.lit(1.0)).cast("decimal(12,4)")
