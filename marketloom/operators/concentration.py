@@ -65,3 +65,44 @@ def top_keywords(memberships: DataFrame, products: DataFrame, top: int = 8) -> D
     m = _members(memberships, products).select("cluster_id", F.explode("keywords").alias("k"))
     uses = m.select("cluster_id", F.lower(squeeze(F.col("k"))).alias("keyword")).where("keyword is not null").groupBy("cluster_id", "keyword").agg(F.count("*").alias("uses"))
     return uses.withColumn("rank", F.row_number().over(W.partitionBy("cluster_id").orderBy(F.col("uses").desc(), "keyword"))).where(F.col("rank") <= top)
+
+
+def price_segments(memberships: DataFrame, products: DataFrame) -> DataFrame:
+    """Per cluster with a price: entry, middle and leader price and the two prices that part it into thirds.
+
+    Of n prices in rising order these are the ones at n // 4, n // 2, the last, n // 3 and 2n // 3 (counted from 0). The
+    prices are ranked by a window, which spills, and never gathered in one value.
+    """
+    m = _members(memberships, products).where("price is not null").select("cluster_id", F.col("price").cast("double").alias("price"), "id")
+    ranked = m.withColumn("i", F.row_number().over(W.partitionBy("cluster_id").orderBy("price", "id")) - 1).withColumn("n", F.count("*").over(W.partitionBy("cluster_id")))
+    at = lambda place, name: F.max(F.when(F.col("i") == place, F.col("price"))).alias(name)
+    n = F.col("n")
+    return ranked.groupBy("cluster_id").agg(
+        F.count("*").alias("priced"),
+        at(F.floor(n / 4), "entry_price"),
+        at(F.floor(n / 2), "middle_price"),
+        F.max("price").alias("leader_price"),
+        at(F.floor(n / 3), "lower_third"),
+        at(F.floor(2 * n / 3), "upper_third"),
+    )
+
+
+def top_signals(memberships: DataFrame, products: DataFrame, top: int = 12) -> DataFrame:
+    """cluster_id, signal, uses, rank: the most frequent signal words of each cluster (ties in alphabetical order).
+
+    Signals are keywords, niche, product type and the words of more than three characters of descriptions, in lower case
+    with `-` for spaces.
+    """
+    none = F.array().cast("array<string>")
+    long_words = F.filter(F.split(F.trim(F.coalesce("description", F.lit(""))), r"\s+"), lambda w: F.length(w) > 3)
+    parts = F.concat(F.coalesce("keywords", none), F.array("niche", "product_type"), long_words)
+    words = _members(memberships, products).select("cluster_id", F.explode(parts).alias("w"))
+    signal = F.nullif(F.regexp_replace(F.trim(F.lower("w")), " ", "-"), F.lit(""))
+    uses = words.select("cluster_id", signal.alias("signal")).where("signal is not null").groupBy("cluster_id", "signal").agg(F.count("*").alias("uses"))
+    return uses.withColumn("rank", F.row_number().over(W.partitionBy("cluster_id").orderBy(F.col("uses").desc(), "signal"))).where(F.col("rank") <= top)
+
+
+def images(memberships: DataFrame, products: DataFrame) -> DataFrame:
+    """cluster_id, product_id, position, url: every image of every member; a member without one gives a row without url."""
+    m = _members(memberships, products)
+    return m.select("cluster_id", F.col("id").alias("product_id"), F.posexplode_outer("image_urls").alias("position", "url"))

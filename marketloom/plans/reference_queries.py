@@ -140,11 +140,23 @@ def k_keywords(spark: SparkSession, d: str) -> DataFrame:
     return K.top_keywords(table(spark, d, "product_cluster_memberships"), table(spark, d, "products"))
 
 
+def k_price_segments(spark: SparkSession, d: str) -> DataFrame:
+    return K.price_segments(table(spark, d, "product_cluster_memberships"), table(spark, d, "products"))
+
+
+def k_signals(spark: SparkSession, d: str) -> DataFrame:
+    return K.top_signals(table(spark, d, "product_cluster_memberships"), table(spark, d, "products"))
+
+
+def k_images(spark: SparkSession, d: str) -> DataFrame:
+    return K.images(table(spark, d, "product_cluster_memberships"), table(spark, d, "products"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         q_recent_products, q_recent_raw, q_lookup, q_counts, q_top_clusters, q_cluster_members, q_latest_observation, q_latest_run, q_observation_metadata,
         n_texts, n_urls, n_keywords, n_slugs, n_identities, g_report, g_products, c_tokens, c_idf, c_similar, c_components, c_markets,
-        k_concentration, k_dispersion, k_keywords,
+        k_concentration, k_dispersion, k_keywords, k_price_segments, k_signals, k_images,
     )
 }

@@ -126,4 +126,17 @@ from ({_MEMBERS}) group by 1 having count(price) > 0""",
 with k as (select cluster_id, lower({_SQUEEZE.format("k")}) as keyword from (select cluster_id, unnest(keywords) as k from ({_MEMBERS}))),
 u as (select cluster_id, keyword, count(*) as uses from k where keyword is not null group by 1, 2)
 select * from (select *, row_number() over (partition by cluster_id order by uses desc, keyword) as rank from u) where rank <= 8""",
+    "k_price_segments": f"""
+with r as (select cluster_id, cast(price as double) as price, row_number() over (partition by cluster_id order by cast(price as double), id) - 1 as i, count(*) over (partition by cluster_id) as n
+  from ({_MEMBERS}) where price is not null)
+select cluster_id, count(*) as priced, max(case when i = n // 4 then price end) as entry_price, max(case when i = n // 2 then price end) as middle_price,
+  max(price) as leader_price, max(case when i = n // 3 then price end) as lower_third, max(case when i = 2 * n // 3 then price end) as upper_third from r group by 1""",
+    "k_signals": f"""
+with w as (select cluster_id, unnest(list_concat(coalesce(keywords, []), [niche, product_type],
+    list_filter(regexp_split_to_array(trim(coalesce(description, '')), '\\s+'), lambda x: length(x) > 3))) as w from ({_MEMBERS})),
+u as (select cluster_id, nullif(replace(trim(lower(w)), ' ', '-'), '') as signal, count(*) as uses from w group by 1, 2)
+select * from (select *, row_number() over (partition by cluster_id order by uses desc, signal) as rank from u where signal is not null) where rank <= 12""",
+    "k_images": f"""
+select cluster_id, id as product_id, cast(i - 1 as int) as position, image_urls[i] as url from (
+  select *, unnest(case when len(coalesce(image_urls, [])) = 0 then [null] else range(1, len(image_urls) + 1) end) as i from ({_MEMBERS}))""",
 }

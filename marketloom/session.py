@@ -42,18 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_RUN = uuid.uuid4().hex
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Write `df` once as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The tables of one driver lie in one folder of their own; `drop_staged` removes it when the results are written.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/marketloom-{_RUN}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dir_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a written table, from the file system; for deciding on broadcasts."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables this driver has staged. DataFrames that read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/marketloom-{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
