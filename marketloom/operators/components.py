@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from marketloom.session import staged
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, component (lowest node of the component) for `nodes` (`node`) joined by `edges` (`a`, `b`).
 
     Rounds of large-star and small-star contraction: every node is linked to the lowest node it sees, so the number of
     rounds grows with the logarithm of the longest chain. Each round is written to the shared folder.
     """
     links = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
-    for _ in range(max_rounds):
+    settled = False
+    while not settled:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -25,8 +26,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         new = staged(small.where("u <> v").distinct(), "components")
         settled = new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty()
         links = new
-        if settled:
-            break
     label = links.groupBy("u").agg(F.min("v").alias("component"))
     ids = nodes.select("node").distinct()
     return ids.join(label, ids.node == label.u, "left").select("node", F.coalesce("component", "node").alias("component"))

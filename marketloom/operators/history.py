@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marketloom.session import staged
+
 DAY = 86_400_000_000
 
 
@@ -31,10 +33,11 @@ def version_history(
       table gives an empty result; other columns are ignored, whatever their names.
 
     The observations of an entity within one slice of time are folded as a sorted array by a higher-order function that
-    appends a version only upon a change; then the state carried over from earlier slices (a window over the slices'
-    end states) is put in front and the few events left are folded again. No array holds more than one slice of one
-    entity, so an entity with a large part of all rows is spread over as many tasks as it has slices; observations are
-    shuffled once, afterwards only changes are.
+    appends a version only upon a change; then the state carried over from earlier slices is put in front and the few
+    events left are folded again. No array holds more than one slice of one entity, and what an entity's slices tell
+    each other (their end states, the time of their first change) passes through windows over one slim row a slice; so
+    an entity with a large part of all rows, or of all changes, is spread over as many tasks as it has slices.
+    Observations are shuffled once, afterwards only changes are.
     """
     names = [f"a{i}" for i in range(len(attributes))]
     key_names = [f"k{i}" for i in range(len(keys))]
@@ -70,24 +73,23 @@ def version_history(
         .select(*key_names, "slice", fold(F.col("es"), nothing).alias("f"))
         .select(*key_names, "slice", F.col("f.now").alias("last"), F.col("f.out").alias("events"))
     )
+    folded = staged(folded, "history-slices")
+    slot = [*key_names, "slice"]
     order_by_slice = W.partitionBy(*key_names).orderBy("slice")
     before = order_by_slice.rowsBetween(W.unboundedPreceding, -1)
     carried = folded.select(
-        *key_names,
-        "slice",
-        "events",
+        *slot,
         F.struct(
             F.lag("last.t").over(order_by_slice).alias("t"),
             F.lag("last.live").over(order_by_slice).alias("live"),
             *(F.last(F.col("last")[n], ignorenulls=True).over(before).alias(n) for n in names),
         ).cast(state).alias("carry"),
-    ).withColumn("vs", fold(F.col("events"), F.col("carry"))["out"])
-    first = F.get("vs", F.lit(0))["t"]
-    ended = carried.withColumn("first_t", first).withColumn(
-        "next_t", F.first("first_t", ignorenulls=True).over(order_by_slice.rowsBetween(1, W.unboundedFollowing))
     )
-    versions = F.transform("vs", lambda v, i: F.struct(v.alias("v"), F.coalesce(F.get("vs", i + 1)["t"], F.col("next_t")).alias("until")))
-    live = ended.select(*key_names, F.explode(F.filter(versions, lambda x: x["v"]["live"])).alias("x"))
+    versions = staged(folded.join(carried, slot).select(*slot, fold(F.col("events"), F.col("carry"))["out"].alias("vs")).where(F.size("vs") > 0), "history-versions")
+    following = versions.select(*slot, F.lead(F.get("vs", F.lit(0))["t"]).over(order_by_slice).alias("next_t"))
+    spans = F.transform("vs", lambda v, i: F.struct(v.alias("v"), F.coalesce(F.get("vs", i + 1)["t"], F.col("next_t")).alias("until")))
+    ended = versions.join(following, slot)
+    live = ended.select(*key_names, F.explode(F.filter(spans, lambda x: x["v"]["live"])).alias("x"))
     return live.select(
         *(F.col(n).alias(k) for n, k in zip(key_names, keys)),
         *(F.col("x.v")[n].alias(a) for n, a in zip(names, attributes)),
