@@ -72,7 +72,7 @@ TYPES = {
 QUALIFIERS = ("weekend", "co-op", "mobile", "seasonal", "family-run", "rural", "first-year", "student")
 MARKETING = (
     "limited offer|bundle offer|no formulas needed|editable|xlsx|printable|new|canva|digital|best seller|gift idea|must have|sale|"
-    "google sheets|premium|top rated|instant download|popular|for small business|easy to use|bundle|offer|free|edition|range|design"
+    "google sheets|premium|top rated|instant download|popular|for small business|easy to use|bundle|offer|free|edition|range|design|code|sku|item|ref"
 )
 FUNCTION_WORDS = "a|an|and|at|by|for|from|in|of|on|or|the|to|with|no|x|mm|cm|us|tab|tabs|month|months|year|years|quarter|half|one|two|three|four|five|letter|row|rows|line|lines"
 PAGE_FORMATS = {"a3": "297x420", "a4": "210x297", "a5": "148x210", "us letter": "216x279", "half letter": "140x216"}
