@@ -124,7 +124,7 @@ class _Phrases:
         low = np.searchsorted(postings, self.terms[:, 0] * whole)
         count = np.searchsorted(postings, (self.terms[:, 0] + 1) * whole) - low
         found_phrase, found_start = [], []
-        for chunk in np.split(np.arange(len(count)), np.flatnonzero(np.diff(np.cumsum(count) // 4_000_000)) + 1):
+        for chunk in np.split(np.arange(len(count)), np.flatnonzero(np.diff(np.cumsum(count) // 1_000_000)) + 1):
             n = count[chunk]
             phrase = np.repeat(chunk, n)
             nth = np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
