@@ -76,3 +76,33 @@ def test_stream(spark, tmp_path):
         spark.createDataFrame([(i, "etsy", "5", "q", etsy(title=title), AT), (10 + i, "etsy", "9", "q", "{", AT)], RAW).write.mode("append").parquet(source)
         ingest_stream(spark, source, target, state).awaitTermination()
     assert [r.product_name for r in current_products(spark, target).collect()] == ["Second"]
+
+
+def test_staged_tables_are_dropped_together(spark):
+    from marketloom.session import drop_staged, shared_dir, staged
+
+    df = staged(spark.range(5).toDF("id"), "x")
+    assert df.count() == 5
+    folder = shared_dir(spark).removeprefix("file://")
+    assert any(name.startswith("marketloom-") for name in os.listdir(folder))
+    drop_staged(spark)
+    assert not any(name.startswith("marketloom-") for name in os.listdir(folder))
+
+
+def test_cluster_summaries(spark):
+    from marketloom.operators import concentration as K
+
+    schema = "id bigint, marketplace string, seller string, review_count int, price decimal(18,4), rating double, keywords array<string>, niche string, product_type string, description string, image_urls array<string>, n int, i int"
+    rows = [(i, "etsy", "  " if i == 1 else "S", i * 10, None if i == 5 else i, 4.0, ["A", "a ", None], "bakery", None, "one longer words", ["u"] if i % 2 else None, 1, 1) for i in range(1, 6)]
+    products = spark.createDataFrame(rows, schema)
+    edges = spark.createDataFrame([(1, i) for i in range(1, 6)] * 2 + [(None, 1), (2, 99)], "cluster_id bigint, product_id bigint")
+    c = K.concentration(edges, products).collect()
+    assert [(r.competitor_count, r.seller_count, r.top_seller_listing_share, r.top_3_review_share) for r in c] == [(5, 2, 0.8, 0.8)]
+    d = K.dispersion(edges, products).first()
+    assert (d.priced, d.price_min, d.price_median, d.price_max, d.price_mean) == (4, 1.0, 2.5, 4.0, 2.5)
+    s = K.price_segments(edges, products).first()
+    assert (s.entry_price, s.middle_price, s.leader_price, s.lower_third, s.upper_third) == (2.0, 3.0, 4.0, 2.0, 3.0)
+    assert [(r.keyword, r.uses) for r in K.top_keywords(edges, products).collect()] == [("a", 10)]
+    assert {r.signal for r in K.top_signals(edges, products).collect()} == {"a", "bakery", "longer", "words"}
+    assert K.images(edges, products).where("url is null").count() == 2
+    assert K.concentration(edges.limit(0), products).count() == 0
