@@ -1,6 +1,7 @@
 import json
 import os
 from datetime import datetime, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,17 +84,17 @@ def test_staged_tables_are_dropped_together(spark):
 
     df = staged(spark.range(5).toDF("id"), "x")
     assert df.count() == 5
-    folder = shared_dir(spark).removeprefix("file://")
-    assert any(name.startswith("marketloom-") for name in os.listdir(folder))
+    run = os.path.dirname(os.path.dirname(df.inputFiles()[0].removeprefix("file://")))
+    assert run.startswith(shared_dir(spark).removeprefix("file://")) and os.path.isdir(run)
     drop_staged(spark)
-    assert not any(name.startswith("marketloom-") for name in os.listdir(folder))
+    assert not os.path.exists(run)
 
 
 def test_cluster_summaries(spark):
     from marketloom.operators import concentration as K
 
     schema = "id bigint, marketplace string, seller string, review_count int, price decimal(18,4), rating double, keywords array<string>, niche string, product_type string, description string, image_urls array<string>, n int, i int"
-    rows = [(i, "etsy", "  " if i == 1 else "S", i * 10, None if i == 5 else i, 4.0, ["A", "a ", None], "bakery", None, "one longer words", ["u"] if i % 2 else None, 1, 1) for i in range(1, 6)]
+    rows = [(i, "etsy", "  " if i == 1 else "S", i * 10, None if i == 5 else Decimal(i), 4.0, ["A", "a ", None], "bakery", None, "one longer words", ["u"] if i % 2 else None, 1, 1) for i in range(1, 6)]
     products = spark.createDataFrame(rows, schema)
     edges = spark.createDataFrame([(1, i) for i in range(1, 6)] * 2 + [(None, 1), (2, 99)], "cluster_id bigint, product_id bigint")
     c = K.concentration(edges, products).collect()
