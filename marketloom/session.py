@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -61,6 +62,19 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for where it isn't installed on their path."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="marketloom-package-"), "marketloom")
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "marketloom"))
+        _shipped.add(app)
+
+
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Microseconds since 1970 UTC of a timestamp column with or without zone, whatever the session's zone is."""
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
