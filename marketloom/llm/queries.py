@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import clusters, matching, mixing, readability, subset
 from marketloom.llm.leakage import leaks
-from marketloom.session import staged, table
+from marketloom.session import ship_package, staged, table
 
 
 MARKET_FIELDS = ["niche", "product_type", "primary_problem"]
@@ -63,18 +66,19 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_profile(p8_levels(spark, sf_dir))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, run after the Python workers have been sent this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    "p1_subset": p1_subset,
-    "p1_coverage": p1_coverage,
-    "p3_members": p3_members,
-    "p3_clusters": p3_clusters,
-    "p4_found": p4_found,
-    "p4_groups": p4_groups,
-    "p6_found": p6_found,
-    "p6_leaks": p6_leaks,
-    "p7_mixture": p7_mixture,
-    "p7_shares": p7_shares,
-    "p8_levels": p8_levels,
-    "p8_profile": p8_profile,
+    f.__name__: _shipped(f)
+    for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p7_mixture, p7_shares, p8_levels, p8_profile)
 }
 SQL: dict[str, str] = {}
