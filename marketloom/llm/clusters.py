@@ -19,7 +19,7 @@ from marketloom.session import staged
 BUCKETS = 4096  # hashed words
 SKETCH = 256  # signed sums of buckets
 DIMENSIONS = 20  # principal components
-COMPONENTS = (8, 16, 32, 48, 64)
+COMPONENTS = (8, 16, 32, 48, 64)  # tried first; larger ones follow while the largest has the lowest criterion
 ITERATIONS = 15
 RIDGE = 0.02  # added to the diagonal of every covariance of standardised features
 SEEDS = 4_000  # rows the first means are drawn from; every other statistic covers all rows
@@ -162,6 +162,11 @@ def _log_sum(a: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(a - top[:, None]).sum(1))
 
 
+def _rows_at_once(components: int) -> int:
+    """Rows whose matrix of densities takes 2 MB, 64 at least."""
+    return max(64, min(4096, 262_144 // components))
+
+
 def _first_mixture(seeds: np.ndarray, k: int, trials: int = 8, rounds: int = 10) -> Mixture:
     """k means spread over the seeds, equal weights, unit covariances.
 
@@ -178,7 +183,7 @@ def _first_mixture(seeds: np.ndarray, k: int, trials: int = 8, rounds: int = 10)
         best = options.sum(1).argmin()
         means, distance = np.vstack((means, seeds[drawn[best]])), options[best]
     for _ in range(rounds):
-        nearest = (-2 * seeds @ means.T + (means**2).sum(1)).argmin(1)
+        nearest = np.concatenate([(-2 * s @ means.T + (means**2).sum(1)).argmin(1) for s in np.array_split(seeds, -(-len(seeds) // 4096))])
         n = np.bincount(nearest, minlength=k)
         sums = np.stack([np.bincount(nearest, seeds[:, d], minlength=k) for d in range(seeds.shape[1])], axis=1)
         means = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], means)
@@ -186,18 +191,35 @@ def _first_mixture(seeds: np.ndarray, k: int, trials: int = 8, rounds: int = 10)
     return Mixture(np.full(k, 1 / k), means, np.repeat(np.eye(d)[None], k, 0))
 
 
+def _next_components(k: int) -> int:
+    """The number of components tried after k: 64, 96, 128, 192, 256 and so on."""
+    return k + (1 << max(k.bit_length() - 2, 0))
+
+
 def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: int, ridge: float, seeds: int = SEEDS) -> tuple[dict[int, Mixture], dict[int, float]]:
-    """Mixtures and Bayesian information criteria by number of components, all fitted in the same passes over all rows.
+    """Mixtures and Bayesian information criteria by number of components, those given fitted in the same passes over all rows.
 
-    Each pass sends the mixtures to the tasks and brings back one row of sums per component, whatever the number of rows.
+    While the largest number has the lowest criterion the next larger one is fitted, so the criterion and not the list
+    decides. Each pass sends the mixtures to the tasks and brings back one row of sums per component, whatever the number
+    of rows.
     """
     n = features.count()
-    first = np.array([r["x"] for r in features.orderBy(F.xxhash64("product_id"), "product_id").select("x").limit(seeds).collect()], float)
-    if not len(first):
+    if not n:
         return {}, {}
-    components = tuple(k for k in components if k * 10 <= n) or (1,)
+    models, bic = _fitted(features, n, tuple(k for k in components if k * 10 <= n) or (1,), iterations, ridge, seeds)
+    while min(bic, key=lambda k: (bic[k], k)) == max(bic) and (k := _next_components(max(bic))) * 10 <= n:
+        for known, more in zip((models, bic), _fitted(features, n, (k,), iterations, ridge, seeds)):
+            known.update(more)
+    return models, bic
+
+
+def _fitted(features: DataFrame, n: int, components: tuple[int, ...], iterations: int, ridge: float, seeds: int) -> tuple[dict[int, Mixture], dict[int, float]]:
+    """Mixtures and criteria of exactly these numbers of components; ten seeds a component at least."""
+    wanted = max(seeds, 10 * max(components))
+    first = np.array([r["x"] for r in features.orderBy(F.xxhash64("product_id"), "product_id").select("x").limit(wanted).collect()], float)
     models = {k: _first_mixture(first, k) for k in components}
     d = first.shape[1]
+    chunk = _rows_at_once(max(components))
     bic: dict[int, float] = {}
     for step in range(iterations + 1):
         current = dict(models)
@@ -205,8 +227,8 @@ def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: i
         def expect(batches: Iterator[pa.RecordBatch], current: dict[int, Mixture] = current) -> Iterator[pa.RecordBatch]:
             sums = {k: [np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0] for k in current}
             for batch in batches:
-                for begin in range(0, batch.num_rows, 4096):
-                    x = _matrix(batch.slice(begin, 4096))
+                for begin in range(0, batch.num_rows, chunk):
+                    x = _matrix(batch.slice(begin, chunk))
                     for k, model in current.items():
                         joint = model.log_joint(x)
                         density = _log_sum(joint)
@@ -220,13 +242,13 @@ def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: i
             parts, vectors = [], []
             for k, (r, rx, rxx, likelihood) in sums.items():
                 for c in range(k):
-                    parts.append(k * 10_000 + c)
+                    parts.append((k << 32) + c)
                     vectors.append(np.concatenate(([r[c], likelihood if c == 0 else 0.0], rx[c], rxx[c].ravel())).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(vectors, pa.binary())], names=["part", "v"])
 
         got = {r["part"]: np.frombuffer(bytes(r["v"])) for r in _summed(features.mapInArrow(expect, "part long, v binary")).collect()}
         for k in components:
-            rows = np.array([got[k * 10_000 + c] for c in range(k)])
+            rows = np.array([got[(k << 32) + c] for c in range(k)])
             bic[k] = -2 * rows[0, 1] + models[k].free_parameters * math.log(n)
             if step < iterations:
                 mass = np.maximum(rows[:, 0], 1e-9)
@@ -244,7 +266,8 @@ def similarity_clusters(products: DataFrame, components: tuple[int, ...] = COMPO
     """product_id, cluster, probability, log_density for every product with an id.
 
     Features are the first principal components of the standardised sketch of tf-idf weighted words of name, keywords and
-    description; the number of components of the mixture is the one with the lowest Bayesian information criterion; a
+    description; the number of components of the mixture is the one with the lowest Bayesian information criterion, larger
+    ones than those given being tried for as long as the largest has the lowest; a
     product belongs to the component most likely to have made it, `log_density` is its log density there. Clusters are
     numbered from 0 by falling weight. NULL and empty texts are rows without words and lie together; copies get the
     same cluster; very long texts are read whole; an empty table gives an empty result; only the columns named are read.
@@ -259,14 +282,14 @@ def similarity_clusters(products: DataFrame, components: tuple[int, ...] = COMPO
     model = Mixture(model.weights[order], model.means[order], model.covariances[order])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _rows_at_once(len(model.weights))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            joint = model.log_joint(_matrix(batch))
-            best = joint.argmax(1)
-            own = joint[np.arange(len(best)), best]
-            columns = [batch.column(0), pa.array(best.astype(np.int32)), pa.array(np.exp(own - _log_sum(joint))), pa.array(own - np.log(model.weights[best]))]
-            yield pa.RecordBatch.from_arrays(columns, names=["product_id", "cluster", "probability", "log_density"])
+            for part in (batch.slice(begin, chunk) for begin in range(0, batch.num_rows, chunk)):
+                joint = model.log_joint(_matrix(part))
+                best = joint.argmax(1)
+                own = joint[np.arange(len(best)), best]
+                columns = [part.column(0), pa.array(best.astype(np.int32)), pa.array(np.exp(own - _log_sum(joint))), pa.array(own - np.log(model.weights[best]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["product_id", "cluster", "probability", "log_density"])
 
     return features.mapInArrow(assign, schema)
 

@@ -54,3 +54,11 @@ def test_topics_are_found(spark):
         inside = sorted((i for i in got if got[i] == p["cluster"]), key=lambda i: (-density[i], i))
         assert p.typical_ids == inside[:3]
     assert similarity_clusters(df.where(F.lit(False))).count() == 0
+
+
+def test_criterion_decides_beyond_the_largest_number_given(spark):
+    rng = np.random.default_rng(3)
+    data = np.concatenate([np.array([9 * (i % 4), 9 * (i // 4)]) + rng.normal(size=(60, 2)) for i in range(12)])
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(data)], "product_id long, x array<float>")
+    models, bic = fit_mixtures(df, (2, 4), 12, 0.01)
+    assert min(bic, key=bic.get) == 12 and set(models) == set(bic) == {2, 4, 6, 8, 12, 16}
