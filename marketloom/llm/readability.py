@@ -25,7 +25,7 @@ _FUNCTION_WORDS = {
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _BLOCK = re.compile(r"</?(?:p|div|li|ul|ol|h[1-6]|br|tr|td|th|table)\b[^<>]*>", re.I)
 _DAMAGED = re.compile("[ÂÃ][\u0080-¿]")
-_SENTENCE = re.compile(r"[.!?…]+[\"'”’)\]]*(?=\s|$)|\n\s*\n")
+_SENTENCE = re.compile(r"([.!?…]+)[\"'”’)\]]*(?=\s|$)|\n\s*\n")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _EN_GROUP = re.compile(r"[aeiouy]+")
 _EN_SILENT = re.compile(r"(?:[^aeiouyl]|[aeiouy]l)e$|[^aeiouytd]ed$|[^aeiouyszxhgc]es$")
@@ -81,8 +81,8 @@ def _grades(words: int, sentences: int, letters: int, syllables: int, long_words
     ]
 
 
-def reading_counts(text: str, lang: str | None, caches: dict[str, _Counts]) -> tuple[str, int, int, int, int, int]:
-    """language, words, sentences, letters, syllables, words of three and more syllables of a whole text.
+def reading_counts(text: str, lang: str | None, caches: dict[str, _Counts]) -> tuple[str, int, int, int, int, int, int]:
+    """language, words of the whole text, then of its sentences: words, sentences, letters, syllables, words of three and more syllables.
 
     Markup and entities are dropped; block tags and empty lines end a sentence. A piece of fewer than four words that no
     mark ends (headings, table cells, signatures) is left out unless the text has nothing else.
@@ -93,18 +93,19 @@ def reading_counts(text: str, lang: str | None, caches: dict[str, _Counts]) -> t
         text = html.unescape(text)
     if "Ã" in text or "Â" in text:
         text = _DAMAGED.sub(lambda m: bytes(map(ord, m.group())).decode("utf-8", "ignore"), text)
-    pieces = [p for s in _SENTENCE.split(text.lower().replace("­", "")) if (p := _WORD.findall(s))]
-    kept = [p for p in pieces if len(p) > 3] or pieces
+    parts = _SENTENCE.split(text.lower().replace("­", ""))  # a text, the mark that ended it or None, the next text
+    pieces = [(p, mark) for s, mark in zip(parts[::2], (*parts[1::2], None)) if (p := _WORD.findall(s))]
+    kept = [p for p, mark in pieces if mark or len(p) > 3] or [p for p, _ in pieces]
     words = [w for p in kept for w in p]
     if lang not in caches:
         votes = {k: sum(map(v.__contains__, words)) for k, v in _FUNCTION_WORDS.items()}
         lang = max(LANGUAGES, key=lambda k: votes[k])
     n = list(map(caches[lang].__getitem__, words))
-    return lang, len(words), len(kept), sum(map(len, words)), sum(n), sum(x > 2 for x in n)
+    return lang, sum(len(p) for p, _ in pieces), len(words), len(kept), sum(map(len, words)), sum(n), sum(x > 2 for x in n)
 
 
 def reading_scores(documents: DataFrame) -> DataFrame:
-    """doc_id, source, lang, words, sentences, score: the median grade estimate of every document with a word."""
+    """doc_id, source, lang, words (of the whole text), sentences, score: the median grade estimate of every document with a word."""
     schema = "doc_id long, source string, lang string, words long, sentences long, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,9 +113,9 @@ def reading_scores(documents: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, source, lang, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                lang, words, sentences, *rest = reading_counts(text, (lang or "").strip().lower()[:2], caches)
+                lang, words, graded, sentences, *rest = reading_counts(text, (lang or "").strip().lower()[:2], caches)
                 if words:
-                    rows.append((doc, source, lang, words, sentences, float(median(_grades(words, sentences, *rest)))))
+                    rows.append((doc, source, lang, words, sentences, float(median(_grades(graded, sentences, *rest)))))
             columns = zip(*rows) if rows else [[]] * 6
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["doc_id", "source", "lang", "words", "sentences", "score"])

@@ -3,7 +3,7 @@ from datetime import datetime
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketloom.llm.readability import english_syllables, label_grades, reading_levels, reading_profile, reading_scores, romance_syllables
+from marketloom.llm.readability import english_syllables, label_grades, reading_counts, reading_levels, reading_profile, reading_scores, romance_syllables
 
 DOCS = "doc_id bigint, text string, source string, lang string, score double, level int"
 LABELS = "doc_id bigint, rater string, grade int, rated_at timestamp"
@@ -56,3 +56,16 @@ def test_held_out_accuracy(spark):
     assert len(rows) > 300
     assert np.corrcoef([r.level for r in rows], [r.truth for r in rows])[0, 1] > 0.9
     assert np.mean([abs(r.grade - r.truth) <= 0.5 for r in rows]) > 0.8
+
+
+def test_short_sentences_count_and_short_pieces_without_a_mark_do_not():
+    caches = {"en": _Syllables()}
+    text = "The dog ran. \"Stop!\" he said to the man…\n\nShop news\n\nWe sat in the sun"
+    # the heading is in the words of the text, but is no sentence
+    assert reading_counts(text, "en", caches)[:4] == ("en", 16, 14, 4)
+    assert reading_counts("Shop news\n\nHelp", "en", caches)[:4] == ("en", 3, 3, 2)
+
+
+class _Syllables(dict):
+    def __missing__(self, word):
+        return english_syllables(word)
