@@ -199,15 +199,16 @@ def _next_components(k: int) -> int:
 def fit_mixtures(features: DataFrame, components: tuple[int, ...], iterations: int, ridge: float, seeds: int = SEEDS) -> tuple[dict[int, Mixture], dict[int, float]]:
     """Mixtures and Bayesian information criteria by number of components, those given fitted in the same passes over all rows.
 
-    While the largest number has the lowest criterion the next larger one is fitted, so the criterion and not the list
-    decides. Each pass sends the mixtures to the tasks and brings back one row of sums per component, whatever the number
+    While the largest number has the lowest criterion the next larger one below the number of rows is fitted, while the
+    smallest has it half of that, so the criterion and not the list decides. Each pass sends the mixtures to the tasks and brings back one row of sums per component, whatever the number
     of rows.
     """
     n = features.count()
     if not n:
         return {}, {}
-    models, bic = _fitted(features, n, tuple(k for k in components if k * 10 <= n) or (1,), iterations, ridge, seeds)
-    while min(bic, key=lambda k: (bic[k], k)) == max(bic) and (k := _next_components(max(bic))) * 10 <= n:
+    models, bic = _fitted(features, n, tuple(k for k in components if k < n) or (1,), iterations, ridge, seeds)
+    best = lambda: min(bic, key=lambda k: (bic[k], k))
+    while best() == max(bic) and (k := _next_components(max(bic))) < n or best() == min(bic) and (k := min(bic) // 2):
         for known, more in zip((models, bic), _fitted(features, n, (k,), iterations, ridge, seeds)):
             known.update(more)
     return models, bic
@@ -267,7 +268,7 @@ def similarity_clusters(products: DataFrame, components: tuple[int, ...] = COMPO
 
     Features are the first principal components of the standardised sketch of tf-idf weighted words of name, keywords and
     description; the number of components of the mixture is the one with the lowest Bayesian information criterion, larger
-    ones than those given being tried for as long as the largest has the lowest; a
+    and smaller ones than those given being tried for as long as the last has the lowest; a
     product belongs to the component most likely to have made it, `log_density` is its log density there. Clusters are
     numbered from 0 by falling weight. NULL and empty texts are rows without words and lie together; copies get the
     same cluster; very long texts are read whole; an empty table gives an empty result; only the columns named are read.

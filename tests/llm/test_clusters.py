@@ -62,3 +62,15 @@ def test_criterion_decides_beyond_the_largest_number_given(spark):
     df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(data)], "product_id long, x array<float>")
     models, bic = fit_mixtures(df, (2, 4), 12, 0.01)
     assert min(bic, key=bic.get) == 12 and set(models) == set(bic) == {2, 4, 6, 8, 12, 16}
+
+
+def test_criterion_decides_on_small_input_too(spark):
+    rng = np.random.default_rng(4)
+    data = np.concatenate([np.array([9 * i, 9 * (i % 2)]) + rng.normal(size=(20, 2)) for i in range(3)])
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(data)], "product_id long, x array<float>")
+    _, bic = fit_mixtures(df, (3, 8), 12, 0.01)
+    assert min(bic, key=bic.get) == 3 and set(bic) == {1, 3, 8}
+    _, bic = fit_mixtures(df, (12,), 12, 0.01)
+    assert set(bic) == {1, 3, 6, 12, 16} and min(bic, key=bic.get) == 3
+    _, bic = fit_mixtures(df.limit(1), (8,), 3, 0.01)
+    assert set(bic) == {1}
