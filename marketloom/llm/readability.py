@@ -27,14 +27,21 @@ _BLOCK = re.compile(r"</?(?:p|div|li|ul|ol|h[1-6]|br|tr|td|th|table)\b[^<>]*>",
 _DAMAGED = re.compile("[ÂÃ][\u0080-¿]")
 _SENTENCE = re.compile(r"([.!?…]+)[\"'”’)\]]*(?=\s|$)|\n\s*\n")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+# Hyphenation-style rules of English: groups of vowels, endings that are silent, places where a group parts or joins.
 _EN_GROUP = re.compile(r"[aeiouy]+")
-_EN_SILENT = re.compile(r"(?:[^aeiouyl]|[aeiouy]l)e$|[^aeiouytd]ed$|[^aeiouyszxhgc]es$")
-_EN_SPLIT = re.compile(r"i[aou](?!us)|[aeiou]ing|eo|ua(?=[lt])|[^aeiouy]les$|(?<=[aeiouy][^aeiouy])ea$")
-_EN_JOIN = re.compile(r"(?:ci|ti|si|gi)[aou]|[aeiouy]eau")
+_EN_SILENT = re.compile(r"(?:[^aeiouyl]|[aeiouy]l)e$|[^aeiouytd]ed$|[^aeiouyszxhgc]es$|(?<=[aeiou][^aeiouy])e(?=(?:ly|ment|ful|less|some)$)|(?<=bus)i(?=n)|(?<=ev)e(?=r[yi])")
+_EN_SPLIT = re.compile(
+    r"i[aou](?!us)|[aeiou]ing|(?<![pg])eo(?!u|pard)|geo(?=[gm])|ua(?=[lt])|[^aeiouy]les$|(?<=[aeiouy][^aeiouy])ea$"
+    r"|(?<=cr)ea(?=t)|(?<=[^aeiouy]id)ea|(?<=^id)ea|(?<=^r)ea(?=[cl]t|l[ilms])|(?<=th)ea(?=t)|(?<=[pmn])oe(?=[mt])|(?<![tcsx])ie(?=t|n[ct])|(?<=sc)ie(?=n)|(?<=[^aeiouqg])ue(?=[lnt]$)|uou|[^aeiou]oi(?=ng)|(?<=[^aeiouy][lr])ia"
+)
+_EN_JOIN = re.compile(r"(?:ci|ti|si|gi)[aou]|[aeiouy]eau|(?<=[^aeiouy][lr])ia(?=g)")
 _ROMANCE_GROUP = re.compile("[aeiouáéíóúàâêôãõüy]+")
 _NASAL = re.compile("ã[eo]|õe")  # one syllable
 _APART = re.compile("[iu](?:ã[eo]|õe)")  # two
 _STRONG = frozenset("aeoáéóàâêôãõíú")
+_MUTE_U = re.compile("(?<=[qg])u(?=[eiéíêy])")
+_PT_HIATUS = re.compile("[iu][ao]s?$")
+_PT_ACCENT = re.compile("[áéíóúâêôãõ]")
 
 
 def english_syllables(word: str) -> int:
@@ -43,16 +50,21 @@ def english_syllables(word: str) -> int:
     return max(1, n)
 
 
-def romance_syllables(word: str) -> int:
-    """Syllables of Spanish and Portuguese by the rules of hyphenation: strong vowels part, weak ones lean on them."""
+def spanish_syllables(word: str) -> int:
+    """Syllables by the rules of hyphenation: strong and accented vowels part, weak ones lean on them; u is mute in que, gui."""
     n = 0
-    for group in _ROMANCE_GROUP.findall(word):
+    for group in _ROMANCE_GROUP.findall(_MUTE_U.sub("", word)):
         strong = sum(c in _STRONG for c in group)
         nasal = len(_NASAL.findall(group)) - len(_APART.findall(group))
         n += max(1, strong - nasal)
     return max(1, n)
 
 
+def portuguese_syllables(word: str) -> int:
+    """As in Spanish, but an ending like -ia, -io, -ua of a word without an accent is stressed on its first vowel and parts."""
+    return spanish_syllables(word) + (1 if _PT_HIATUS.search(word) and not _PT_ACCENT.search(word) and not word.endswith(("gua", "qua", "guas", "quo")) else 0)
+
+
 class _Counts(dict):
     """word -> syllables, filled as words are met; started anew when it gets large."""
 
@@ -67,16 +79,35 @@ class _Counts(dict):
         return n
 
 
-def _grades(words: int, sentences: int, letters: int, syllables: int, long_words: int) -> list[float]:
-    """Grade estimates: Flesch-Kincaid, Gunning fog, SMOG, Coleman-Liau, automated readability, Flesch ease as a grade."""
-    per_sentence, per_word = words / sentences, syllables / words
+def _grades(lang: str, words: int, sentences: int, letters: int, syllables: int, long_words: int) -> list[float]:
+    """Grade estimates by published formulas of the language; reading ease (0 to 100) counts as (121 - ease) / 8.
+
+    English: Flesch-Kincaid, Gunning fog, SMOG, Coleman-Liau, automated readability, Flesch ease. Portuguese: the same in
+    the versions fitted to Portuguese texts. Spanish: Crawford's grade, the eases of Fernandez Huerta and of Szigriszt
+    Pazos, and SMOG rescaled for Spanish.
+    """
+    per_sentence, per_word, size, hard = words / sentences, syllables / words, letters / words, long_words / words
+    smog = math.sqrt(30 * long_words / sentences)
+    if lang == "es":
+        eases = (206.84 - 60.0 * per_word - 1.02 * per_sentence, 206.835 - 62.3 * per_word - per_sentence)
+        return [-20.5 / per_sentence + 4.9 * per_word - 3.407, *((121 - e) / 8 for e in eases), 0.74 * (1.043 * smog + 3.1291) - 2.51]
+    if lang == "pt":
+        ease = 227.0 - 1.04 * per_sentence - 72.0 * per_word
+        return [
+            0.36 * per_sentence + 10.4 * per_word - 18.0,
+            0.49 * per_sentence + 19.0 * hard,
+            1.12 * smog + 3.1,
+            5.4 * size - 21.0 / per_sentence - 14.0,
+            4.6 * size + 0.44 * per_sentence - 20.0,
+            (121 - ease) / 8,
+        ]
     ease = 206.835 - 1.015 * per_sentence - 84.6 * per_word
     return [
         0.39 * per_sentence + 11.8 * per_word - 15.59,
-        0.4 * (per_sentence + 100 * long_words / words),
-        1.043 * math.sqrt(30 * long_words / sentences) + 3.1291,
-        5.88 * letters / words - 29.6 * sentences / words - 15.8,
-        4.71 * letters / words + 0.5 * per_sentence - 21.43,
+        0.4 * (per_sentence + 100 * hard),
+        1.043 * smog + 3.1291,
+        5.88 * size - 29.6 / per_sentence - 15.8,
+        4.71 * size + 0.5 * per_sentence - 21.43,
         (121 - ease) / 8,
     ]
 
@@ -109,13 +140,13 @@ def reading_scores(documents: DataFrame) -> DataFrame:
     schema = "doc_id long, source string, lang string, words long, sentences long, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caches = {"en": _Counts(english_syllables), "pt": _Counts(romance_syllables), "es": _Counts(romance_syllables)}
+        caches = {"en": _Counts(english_syllables), "pt": _Counts(portuguese_syllables), "es": _Counts(spanish_syllables)}
         for batch in batches:
             rows = []
             for doc, source, lang, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 lang, words, graded, sentences, *rest = reading_counts(text, (lang or "").strip().lower()[:2], caches)
                 if words:
-                    rows.append((doc, source, lang, words, sentences, float(median(_grades(graded, sentences, *rest)))))
+                    rows.append((doc, source, lang, words, sentences, float(median(_grades(lang, graded, sentences, *rest)))))
             columns = zip(*rows) if rows else [[]] * 6
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["doc_id", "source", "lang", "words", "sentences", "score"])
@@ -137,9 +168,10 @@ def label_grades(labels: DataFrame) -> DataFrame:
 def calibration(scores: DataFrame, labels: DataFrame) -> dict[str, list[tuple[float, float]]]:
     """language -> (median score, grade) knots, rising in both; "" holds those of all languages together.
 
-    Computed over all labelled documents; at most (languages + 1) x 5 rows come to the driver.
+    Computed over all labelled documents; at most (languages + 1) x 5 rows come to the driver. Labels grow with the
+    documents, so both sides are shuffled (three slim columns) and neither is broadcast.
     """
-    marked = scores.join(label_grades(labels), "doc_id").withColumn("g", F.round("grade").cast("int"))
+    marked = scores.select("doc_id", "lang", "score").join(label_grades(labels).hint("merge"), "doc_id").withColumn("g", F.round("grade").cast("int"))
     rows = marked.select(F.explode(F.array("lang", F.lit(""))).alias("lang"), "g", "score").groupBy("lang", "g").agg(F.expr("percentile_approx(score, 0.5, 10000)").alias("s"), F.count("*").alias("n")).collect()
     out: dict[str, list[tuple[float, float]]] = {}
     for lang in sorted({r["lang"] for r in rows}):
