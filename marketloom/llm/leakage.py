@@ -1,15 +1,20 @@
-"""Evaluation texts leaking into training text: a positional inverted index of the corpus, searched phrase by phrase."""
+"""Evaluation texts leaking into training text: a positional inverted index of the corpus, searched phrase by phrase.
+
+The index is partitioned by document: each row is a segment with the posting lists of all terms of some documents. It is
+written once, knows nothing of the items, and serves any number of them.
+"""
 
 from __future__ import annotations
 
 import html
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +22,12 @@ from marketloom.session import staged
 
 RUN = 8  # words of an exact phrase
 SHARE = 0.4  # part of an item's words that must stand in such phrases
-BLOCK_WORDS = 2_000_000  # items are searched in blocks of at most so many words, which bounds what tasks are sent
+SLACK = 3  # words by which a proximity match may be off its place
+PROBES = 4  # rarest words of a phrase that must be near their places
+BLOCK_WORDS = 250_000  # items are searched in blocks of at most so many words, which bounds what tasks are sent
+SEGMENT_WORDS = 1 << 18  # a segment of the index is closed once it holds so many postings
+_GAP = 2 * (RUN + SLACK)  # free places between documents, so that no match reaches from one into the next
+_ABSENT = np.iinfo(np.int32).max
 
 _INVISIBLE = re.compile("[\u00ad\u034f\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufeff]")
 _INLINE_TAG = re.compile(r"</?(?:b|i|u|em|strong|span|a|font|wbr|sup|sub|mark|code|small|big|tt|s|ins|del)\b[^<>]*>", re.I)
@@ -58,144 +68,170 @@ def plain_words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _index(texts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """doc_id, terms, positions: the postings of each document, a document partition of the index being some rows.
+SEGMENT = "docs array<bigint>, starts array<int>, terms array<string>, ends array<int>, places array<int>"
+
+
+class _Numbers(dict):
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def positional_index(documents: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """Segments of an inverted index of all words of all texts, a row each.
 
-    Only positions in runs of RUN or more words of the vocabulary are stored, since no phrase match can lie elsewhere.
+    `docs` are the ids of a segment's documents and `starts` their first places; documents lie one after another with a
+    gap between them. `terms` are the words met and `ends` where the posting list of each ends in `places`, which holds
+    the rising places of term after term. A document is never cut; rows without an id or a text are left out. Documents
+    aren't shuffled.
     """
 
-    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = vocabulary.get
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, docs, texts, size = _Numbers(), [], [], 0
+
+        def segment() -> pa.RecordBatch:
+            lengths = np.array([len(t) for t in texts], np.int64)
+            starts = _GAP + np.cumsum(lengths + _GAP) - lengths - _GAP
+            terms = np.concatenate(texts)
+            place = np.arange(len(terms)) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+            order = np.argsort(terms, kind="stable")
+            lists = [pa.array(docs, pa.int64()), pa.array(starts.astype(np.int32)), pa.array(list(numbers), pa.string()), pa.array(np.cumsum(np.bincount(terms, minlength=len(numbers))).astype(np.int32)), pa.array(place[order].astype(np.int32))]
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists], names=["docs", "starts", "terms", "ends", "places"])
+
         for batch in batches:
-            ids, terms, places = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.fromiter((get(w, -1) for w in plain_words(text.as_py())), np.int32)
-                if len(found) < RUN:
+                words = plain_words(text.as_py())
+                if not words:
                     continue
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], (found >= 0).view(np.int8), [0]))))
-                begin, end = edges[::2], edges[1::2]
-                long = end - begin >= RUN
-                if not long.any():
-                    continue
-                at = np.concatenate([np.arange(b, e, dtype=np.int32) for b, e in zip(begin[long], end[long])])
-                ids.append(doc)
-                terms.append(found[at])
-                places.append(at)
-            ends = np.cumsum([0, *map(len, terms)]).astype(np.int32)
-            flat = lambda parts: pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, flat(terms)), pa.ListArray.from_arrays(ends, flat(places))],
-                names=["doc_id", "terms", "positions"],
-            )
+                docs.append(doc)
+                texts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                size += len(words)
+                if size >= segment_words:
+                    yield segment()
+                    numbers, docs, texts, size = _Numbers(), [], [], 0
+        if texts:
+            yield segment()
 
-    return texts.mapInArrow(postings, "doc_id long, terms array<int>, positions array<int>")
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
+    return rows.mapInArrow(build, SEGMENT)
 
 
 class _Phrases:
-    """All phrases of RUN words of a block of items, each with its words from the rarest in the corpus on."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], documents_with: np.ndarray):
-        where: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(items):
-            for i in range(len(words) - RUN + 1):
-                where[words[i : i + RUN].tobytes()].append((k, i))
-        self.terms = np.frombuffer(b"".join(where), np.int32).reshape(-1, RUN).astype(np.int64)
-        order = np.argsort(documents_with[self.terms], axis=1, kind="stable")
-        self.offsets = order
-        self.terms = np.take_along_axis(self.terms, order, axis=1)
-        self.first = np.cumsum([0, *map(len, where.values())])
-        self.item, self.at = np.array([x for v in where.values() for x in v], np.int64).reshape(-1, 2).T
+    """All phrases of RUN words of a block of items, to be looked up in segments of an index."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]):
+        numbers = _Numbers()
+        self.words = np.array([numbers[w] for _, words in items for w in words], np.int32)
+        self.vocabulary = pa.array(list(numbers), pa.string())
         self.item_ids = np.array([i for i, _ in items], np.int64)
         self.item_words = np.array([len(w) for _, w in items], np.int64)
-
-    def search(self, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """doc_id, item_id, matched words, words of the item, words from the first match to the last."""
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
-        lists = batch.column(1)
-        lengths = np.diff(lists.offsets.to_numpy())
-        terms = lists.flatten().to_numpy().astype(np.int64)
-        places = batch.column(2).flatten().to_numpy().astype(np.int64)
-        nothing = tuple(np.empty(0, np.int64) for _ in range(5))
-        if not len(terms) or not len(self.terms):
-            return nothing
-        stride = int(places.max()) + 2 * RUN
-        whole = stride * (len(docs) + 1)
-        postings = np.sort(terms * whole + np.repeat(np.arange(len(docs)), lengths) * stride + places)
-        low = np.searchsorted(postings, self.terms[:, 0] * whole)
-        count = np.searchsorted(postings, (self.terms[:, 0] + 1) * whole) - low
-        found_phrase, found_start = [], []
+        self.first = np.cumsum(self.item_words) - self.item_words
+        starts = [np.arange(f, f + n - RUN + 1) for f, n in zip(self.first, self.item_words)]
+        self.starts = np.concatenate(starts)
+        self.item = np.repeat(np.arange(len(items)), [len(s) for s in starts])
+
+    def search(self, segment: dict[str, pa.Array]) -> tuple[np.ndarray, ...]:
+        """doc_id, item_id, words of the item in exact phrases, in exact or near ones, words of the item, words from the first match to the last."""
+        docs, starts, ends, places = (segment[n].to_numpy(zero_copy_only=False) for n in ("docs", "starts", "ends", "places"))
+        number = pc.fill_null(pc.index_in(self.vocabulary, segment["terms"]), -2).to_numpy(zero_copy_only=False)  # -2: in no document, -1: between documents
+        lengths = np.diff(ends, prepend=0)
+        length = np.where(number >= 0, lengths[number], _ABSENT).astype(np.int64)[self.words]
+        number = number[self.words]
+        at = np.full(int(places.max()) + _GAP, -1, np.int32)  # the posting lists laid out by place
+        at[places] = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+
+        windows = np.lib.stride_tricks.sliding_window_view(length, RUN)[self.starts]
+        absent = (windows == _ABSENT).sum(1)
+        usable = np.flatnonzero(absent <= RUN - PROBES - 2)  # near phrases need six of eight words, exact ones all
+        order = np.argsort(windows[usable], axis=1, kind="stable")  # the words of each phrase from the rarest on
+        begin = self.starts[usable]
+        count = length[begin + order[:, 0]]
+        near, exact = [], []
         for chunk in np.split(np.arange(len(count)), np.flatnonzero(np.diff(np.cumsum(count) // 1_000_000)) + 1):
             n = count[chunk]
             phrase = np.repeat(chunk, n)
             nth = np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
-            start = postings[np.repeat(low[chunk], n) + nth] - self.terms[phrase, 0] * whole - self.offsets[phrase, 0]
-            for r in range(1, RUN):  # intersect with the offset-adjusted list of the next rarest word
-                key = self.terms[phrase, r] * whole + start + self.offsets[phrase, r]
-                hit = postings[np.minimum(np.searchsorted(postings, key), len(postings) - 1)] == key
+            term = number[begin[phrase] + order[phrase, 0]]
+            start = places[ends[term] - lengths[term] + nth] - order[phrase, 0]
+            for r in range(1, PROBES):  # intersect with the offset-adjusted lists of the next rarest words, within the slack
+                offset = order[phrase, r]
+                term, place = number[begin[phrase] + offset], start + offset
+                hit = reduce(np.logical_or, (at[place + d] == term for d in range(-SLACK, SLACK + 1)))
+                phrase, start = phrase[hit], start[hit]
+            near.append((phrase, start))
+            for r in range(1, RUN):  # the same lists, and those of the other words, at their very places
+                offset = order[phrase, r]
+                hit = at[start + offset] == number[begin[phrase] + offset]
                 phrase, start = phrase[hit], start[hit]
-            found_phrase.append(phrase)
-            found_start.append(start)
-        phrase, start = np.concatenate(found_phrase), np.concatenate(found_start)
-        if not len(phrase):
-            return nothing
-        n = self.first[phrase + 1] - self.first[phrase]
-        source = np.repeat(self.first[phrase], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.repeat(start, n)
-        item, at = self.item[source], self.at[source]
-        pair = start // stride * len(self.item_ids) + item
+            exact.append((phrase, start))
         widest = int(self.item_words.max()) + RUN
-        covered = np.unique((pair[:, None] * widest + at[:, None] + np.arange(RUN)).ravel()) // widest
-        pairs, matched = np.unique(covered, return_counts=True)
-        slot = np.searchsorted(pairs, pair)
-        begin, end = np.full(len(pairs), np.iinfo(np.int64).max), np.zeros(len(pairs), np.int64)
-        np.minimum.at(begin, slot, start)
-        np.maximum.at(end, slot, start + RUN)
+
+        def covered(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+            """Pairs of document and item, how many words of the item are covered, first and last place."""
+            phrase, start = (np.concatenate(x) for x in zip(*found))
+            item = self.item[usable[phrase]]
+            doc = np.searchsorted(starts, start + RUN // 2, side="right") - 1
+            pair = doc * len(self.item_ids) + item
+            offset = begin[phrase] - self.first[item]
+            each = np.unique((pair[:, None] * widest + offset[:, None] + np.arange(RUN)).ravel()) // widest
+            pairs, words = np.unique(each, return_counts=True)
+            slot = np.searchsorted(pairs, pair)
+            low, high = np.full(len(pairs), np.iinfo(np.int64).max), np.zeros(len(pairs), np.int64)
+            np.minimum.at(low, slot, start)
+            np.maximum.at(high, slot, start + RUN)
+            return pairs, words, high - low
+
+        if not near or not sum(len(p) for p, _ in near):
+            return tuple(np.empty(0, np.int64) for _ in range(6))
+        pairs, near_words, span = covered(near)
+        some, exact_words, exact_span = covered(exact)
+        matched = np.zeros(len(pairs), np.int64)
+        slot = np.searchsorted(pairs, some)  # exact matches are near ones as well
+        matched[slot], span[slot] = exact_words, exact_span
         item = pairs % len(self.item_ids)
-        return docs[pairs // len(self.item_ids)], self.item_ids[item], matched, self.item_words[item], end - begin
+        return docs[pairs // len(self.item_ids)], self.item_ids[item], matched, near_words, self.item_words[item], span
 
 
-def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, item_id, matched_words, item_words, span_words, is_near: every document and item it leaks.
+def leak_matches(documents: DataFrame, items: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """doc_id, item_id, matched_words, near_words, item_words, span_words: documents and the items they contain exactly or nearly.
 
-    `matched_words` counts the item's words that stand in the document in runs of RUN or more in the item's wording; a
-    row has at least `share` of `item_words`. `span_words` reaches from the first run to the last; `is_near` tells
-    whether they lie close together, within twice the item's words, rather than scattered over the document.
+    `matched_words` counts the item's words that stand in the document in runs of RUN or more in the item's wording.
+    `near_words` also counts those of phrases of RUN words of which the PROBES rarest stand within SLACK words of their
+    places (proximity), and at most two of whose words are unknown to the index segment: reworded, cut or stretched
+    passages. A row has at least `share` of `item_words` in `near_words`. `span_words` reaches from the first exact run (or, where
+    there is none, near phrase) to the last.
+
+    The corpus is read and tokenised once, whatever the number of items; the index is written in the shared folder.
+    Items are looked up in blocks of at most `block_words` words: a task is sent one block, the result of each is written
+    before the next is made, so neither the driver nor a task ever holds more than one.
 
     NULL or empty texts, items shorter than RUN words and empty tables give no rows; repeated rows give no further
-    rows; texts are read whole; of both tables only the id and the text are read. Documents are never shuffled: the
-    index is partitioned by document and written once; what tasks are sent is the block of items, bounded by
-    `block_words`, and the number of documents each of its words occurs in.
+    rows; texts are read whole; of both tables only the id and the text are read.
     """
-    schema = "doc_id long, item_id long, matched_words long, item_words long, span_words long"
-    texts = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
+    names = ["doc_id", "item_id", "matched_words", "near_words", "item_words", "span_words"]
+    schema = ", ".join(f"{n} long" for n in names)
+    index = staged(positional_index(documents, segment_words), "leak-index")
     parts = []
     for block in _blocks(items, block_words):
-        vocabulary: dict[str, int] = {}
-        numbered = [(i, np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32)) for i, words in block]
-        index = staged(_index(texts, vocabulary), "leak-index")
-        documents_with = np.zeros(len(vocabulary), np.int64)
-        for term, n in index.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count().toLocalIterator():
-            documents_with[term] = n
-        phrases = _Phrases(numbered, documents_with)
+        phrases = _Phrases(block)
 
         def search(batches: Iterator[pa.RecordBatch], phrases: _Phrases = phrases) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for k in range(0, batch.num_rows, 2000):
-                    doc, item, matched, words, span = phrases.search(batch.slice(k, 2000))
-                    keep = matched >= share * words
-                    yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype(np.int64)) for x in (doc, item, matched, words, span)], names=["doc_id", "item_id", "matched_words", "item_words", "span_words"])
+                for k in range(batch.num_rows):
+                    found = phrases.search({n: batch.column(i)[k].values for i, n in enumerate(batch.schema.names)})
+                    keep = found[3] >= share * found[4]
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype(np.int64)) for x in found], names=names)
 
-        parts.append(index.mapInArrow(search, schema))
+        parts.append(staged(index.mapInArrow(search, schema), "leak-matches"))
     if not parts:
-        return documents.sparkSession.createDataFrame([], schema + ", is_near boolean")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (
-        out.groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct("matched_words", "item_words", "span_words")).alias("m"))
-        .select("doc_id", "item_id", "m.*", (F.col("m.span_words") <= 2 * F.col("m.item_words")).alias("is_near"))
-    )
+        return documents.sparkSession.createDataFrame([], schema)
+    best = F.max(F.struct("matched_words", "near_words", "item_words", "span_words")).alias("m")
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.*")
+
+
+def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of `leak_matches` with at least `share` of the item's words in exact phrases."""
+    return leak_matches(documents, items, share, block_words).where(F.col("matched_words") >= F.lit(share) * F.col("item_words"))
 
 
 def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, list[str]]]]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import clusters, matching, mixing, readability, subset
-from marketloom.llm.leakage import leaks
+from marketloom.llm.leakage import SHARE, leak_matches, leaks
 from marketloom.session import ship_package, staged, table
 
 
@@ -50,6 +50,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
 
 
+def p6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an item's passage in changed wording only: proximity matches that aren't leaks in exact wording."""
+    found = leak_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.where(F.col("matched_words") < F.lit(SHARE) * F.col("item_words"))
+
+
 def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
 
@@ -79,6 +85,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     f.__name__: _shipped(f)
-    for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p7_mixture, p7_shares, p8_levels, p8_profile)
+    for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p6_near, p7_mixture, p7_shares, p8_levels, p8_profile)
 }
 SQL: dict[str, str] = {}

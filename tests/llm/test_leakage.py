@@ -1,6 +1,7 @@
 import random
 
-from marketloom.llm.leakage import RUN, leaks, plain_words
+import marketloom.llm.leakage as leakage
+from marketloom.llm.leakage import PROBES, RUN, SLACK, leak_matches, leaks, plain_words, positional_index
 
 DOCS = "doc_id bigint, text string, item_id int, terms int, positions int"
 ITEMS = "item_id bigint, item_text string, instruction string, doc_id int"
@@ -49,10 +50,35 @@ def test_against_brute_force(spark):
     assert leaks(df, it.limit(0)).count() == 0 and leaks(df.limit(0), it).count() == 0
 
 
-def test_near_and_scattered(spark):
-    item = " ".join(f"k{i}" for i in range(40))
-    w = item.split()
-    docs = [(1, item), (2, " ".join(w[:10]) + " x" * 300 + " " + " ".join(w[20:30])), (3, " ".join(w[:10]))]
-    df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in docs], DOCS)
-    got = {r.doc_id: (r.matched_words, r.is_near) for r in leaks(df, spark.createDataFrame([(7, item, "", 1)], ITEMS)).collect()}
-    assert got == {1: (40, True), 2: (20, False)}
+def test_index_holds_every_position_of_every_word(spark):
+    texts = {1: "b a b", 2: "a c " * 700, 3: "c", 4: "", 5: None}
+    rows = positional_index(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), segment_words=100).collect()
+    found = {}
+    for r in rows:
+        for k, term in enumerate(r.terms):
+            for place in r.places[r.ends[k - 1] if k else 0 : r.ends[k]]:
+                d = max(i for i, first in enumerate(r.starts) if first <= place)
+                found[r.docs[d], place - r.starts[d]] = term
+    assert found == {(d, k): w for d, t in texts.items() for k, w in enumerate((t or "").split())} and len(rows) > 1
+
+
+def test_blocks_scan_the_corpus_once(spark, monkeypatch):
+    staged, names = leakage.staged, []
+    monkeypatch.setattr(leakage, "staged", lambda df, name: names.append(name) or staged(df, name))
+    items = [(i, " ".join(f"k{i}x{j}" for j in range(12)), "", 1) for i in range(6)]
+    docs = [(i, items[i][1], 1, 2, 3) for i in range(6)]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), block_words=24).collect()}
+    assert got == {(i, i) for i in range(6)}
+    assert names.count("leak-index") == 1 and names.count("leak-matches") == 3
+
+
+def test_proximity_matches(spark):
+    w = [f"k{i}" for i in range(40)]
+    reworded = [x for i, x in enumerate(w) for x in ([x, "extra"] if i % 7 == 3 else [x])]  # never eight words in a row
+    docs = [(1, w), (2, w[:10] + ["x"] * 300 + w[20:30]), (3, w[:10]), (4, reworded), (5, w[::-1]), (6, [x for v in zip(w, ["x"] * 40, ["y"] * 40, ["z"] * 40) for x in v])]
+    df = spark.createDataFrame([(d, " ".join(t), 1, 2, 3) for d, t in docs], DOCS)
+    got = {r.doc_id: (r.matched_words, r.near_words, r.span_words) for r in leak_matches(df, spark.createDataFrame([(7, " ".join(w), "", 1)], ITEMS)).collect()}
+    assert got[1] == (40, 40, 40) and got[2][0] == 20 and got[2][2] == 320
+    assert got[4][0] < 16 and got[4][1] >= 36 and set(got) == {1, 2, 4}
+    assert {r.doc_id for r in leaks(df, spark.createDataFrame([(7, " ".join(w), "", 1)], ITEMS)).collect()} == {1, 2}
+    assert SLACK < RUN and PROBES < RUN
