@@ -83,39 +83,60 @@ from events where on_sale"""
 
 HISTORY_FOUND = f"select distinct marketplace, external_id, valid_from, valid_to from ({HISTORY})"
 
-_WORDS = "US dollars|Canadian dollars|Australian dollars|Brazilian reais|pounds sterling|euros|yen|USD|EUR|GBP|BRL|CAD|AUD|JPY"
-_MONEY = r"(?:(?:US\$|CA\$|C\$|AU\$|A\$|R\$|GB£|\$|€|£|¥|USD|EUR|GBP|BRL|CAD|AUD|JPY) ?[0-9](?:[0-9]|[.,][0-9])*|[0-9](?:[0-9]|[.,][0-9])* ?(?:US\$|CA\$|C\$|AU\$|A\$|R\$|GB£|\$|€|£|¥|USD|EUR|GBP|BRL|CAD|AUD|JPY))"
-_SPOKEN_CODE = """case {x} when 'US dollars' then 'USD' when 'Canadian dollars' then 'CAD' when 'Australian dollars' then 'AUD'
-    when 'Brazilian reais' then 'BRL' when 'pounds sterling' then 'GBP' when 'euros' then 'EUR' when 'yen' then 'JPY' else nullif({x}, '') end"""
+_SIGNS = r"US\$|CA\$|C\$|AU\$|A\$|R\$|GB£|\$|€|£|¥|USD|EUR|GBP|BRL|CAD|AUD|JPY"
+_FIGURE = r"[0-9](?:[0-9]|[.,][0-9])*"
+_WORDS = r"US dollars|Canadian dollars|Australian dollars|Brazilian reais|pounds sterling|British pounds|dollars|euros|pounds|reais|yen|USD|EUR|GBP|BRL|CAD|AUD|JPY"
+_SAID = {
+    "price": rf"((?:{_SIGNS}) ?{_FIGURE}|{_FIGURE} ?(?:{_SIGNS}))",
+    "currency": rf"\b({_WORDS})\b",
+    "scale": r"\b(hundredths|thousands?|minor units|cents?|by 1000|by 100)\b",
+}
+_BEFORE, _AFTER = r"((?:[A-Za-z][\w-]*[^\w.!?\n]{1,3}){0,2})", r"((?:[^\w.!?\n]{1,3}[\w-]+){0,2})"
+_SPOKEN_CODE = """case {x} when 'US dollars' then 'USD' when 'dollars' then 'USD' when 'Canadian dollars' then 'CAD' when 'Australian dollars' then 'AUD'
+    when 'Brazilian reais' then 'BRL' when 'reais' then 'BRL' when 'pounds sterling' then 'GBP' when 'British pounds' then 'GBP' when 'pounds' then 'GBP'
+    when 'euros' then 'EUR' when 'yen' then 'JPY' else nullif({x}, '') end"""
+
+
+def _mentions(kind: str) -> str:
+    whole = _BEFORE + _SAID[kind] + _AFTER
+    context = lambda n: f"trim(regexp_replace(lower(regexp_extract(m, '{whole}', {n})), '[^\\w-]+', ' ', 'g'))"
+    return f"""select product_id, '{kind}' as kind, regexp_extract(m, '{whole}', 2) as said, {context(1)} as before, {context(3)} as behind
+    from (select id as product_id, unnest(regexp_extract_all(description, '{whole}')) as m from products)"""
+
 
 PRICES = f"""
 with {OBSERVED},
-r as (select id, amount, currency from observed where amount is not null),
-t as (
-  select p.id as product_id, p.price, p.currency, r.amount as raw_amount, r.currency as raw_currency, r.id is not null as known,
-    strftime(p.collected_at, '%Y-%m') as rate_month, p.description as d,
-    coalesce(
-      nullif(regexp_extract(p.description, 'Yours for ({_MONEY})', 1), ''),
-      nullif(regexp_extract(p.description, 'Costs ({_MONEY}) incl', 1), ''),
-      nullif(regexp_extract(p.description, '({_MONEY}) buys the full set', 1), ''),
-      nullif(regexp_extract(p.description, 'For ({_MONEY}) you get every file', 1), ''),
-      nullif(regexp_extract(p.description, 'Price: ({_MONEY})', 1), ''),
-      nullif(regexp_extract(p.description, 'Now only ({_MONEY})!', 1), ''),
-      nullif(regexp_extract(p.description, 'One-time payment of ({_MONEY})', 1), '')) as price_text,
-    regexp_extract(p.description, '(?:All amounts are in|Currency:|You pay in|We bill in|Charged in) ({_WORDS})', 1) as currency_text
-  from products p left join r on r.id = p.raw_product_id
-),
+r as (select id, amount, currency from observed where amount is not null qualify row_number() over (partition by id order by at_us desc, amount desc) = 1),
+p as (select products.id as product_id, price, products.currency, strftime(collected_at, '%Y-%m') as rate_month, r.amount as raw_amount, r.currency as raw_currency
+  from products left join r on r.id = products.raw_product_id),
+said as ({" union all ".join(_mentions(k) for k in _SAID)}),
+read as (
+  select *, row_number() over () as n, case when kind = 'price' then {_NUMBER_OF_TEXT.format(x="said")} end as amount,
+    case kind when 'price' then {_CURRENCY_OF_TEXT.format(x="said")} when 'currency' then {_SPOKEN_CODE.format(x="said")} end as code,
+    case when kind = 'scale' then case when said like '%thousand%' or said = 'by 1000' then 1000 else 0.01 end end as factor
+  from said),
+sides as (select *, before as words, 'left' as side from read union all select *, behind, 'right' from read where kind = 'price'),
+learnt as (
+  select kind, side, words, (count(*) filter (agrees) + 1) / (count(*) + 2) as trust from (
+    select kind, side, words, case kind when 'price' then amount = raw_amount and code = raw_currency when 'currency' then code = raw_currency
+      else cast(price * factor as decimal(24,6)) = raw_amount end as agrees
+    from sides join (select distinct product_id, price, raw_amount, raw_currency from p where raw_amount is not null) using (product_id) where words <> '')
+  where agrees is not null group by all),
+judged as (
+  select product_id, kind, amount, code, factor, before, behind, max(trust) as trust from sides left join learnt using (kind, side, words)
+  where product_id not in (select product_id from p where raw_amount is not null) group by all),
+believed as (
+  select * from (select *, count(*) filter (trust is null) over (partition by product_id, kind) as new from judged
+    where (trust is null and (kind = 'price' or before <> '')) or trust >= case kind when 'currency' then 0.8 else 0.65 end)
+  where trust is not null or new = 1),
+best as (select * from believed qualify row_number() over (partition by product_id, kind order by coalesce(trust, 0) desc, amount desc, code desc, factor desc) = 1),
 u as (
-  select product_id, price, currency, rate_month, known,
-    case when known then raw_amount
-         when price is null then {_NUMBER_OF_TEXT.format(x="price_text")}
-         else price * case when regexp_matches(d, 'quoted in thousands|figure in thousands|stands for thousands') then 1000
-                           when regexp_matches(d, 'figure counts cents|kept in minor units|hundredths of the currency|listed in cents|divided by 100 is what') then 0.01 else 1 end
-    end as amount,
-    case when known then raw_currency
-         else coalesce(case when price is null then {_CURRENCY_OF_TEXT.format(x="price_text")} end,
-                       {_SPOKEN_CODE.format(x="currency_text")}, {_CURRENCY_OF_TEXT.format(x="currency")}) end as true_currency
-  from t
+  select p.product_id, price, p.currency, rate_month,
+    case when raw_amount is not null then raw_amount when price is null then a.amount else price * coalesce(s.factor, 1) end as amount,
+    case when raw_amount is not null then raw_currency
+         else coalesce(case when price is null then a.code end, c.code, {_CURRENCY_OF_TEXT.format(x="p.currency")}) end as true_currency
+  from p left join best a on a.product_id = p.product_id and a.kind = 'price' left join best c on c.product_id = p.product_id and c.kind = 'currency'
+    left join best s on s.product_id = p.product_id and s.kind = 'scale'
 )
 select product_id, cast(amount as decimal(24,6)) as amount, true_currency as currency,
   cast(floor(amount * usd_per_unit * 100 + 0.5) as bigint) as usd_cents,
