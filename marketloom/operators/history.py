@@ -9,6 +9,28 @@ from pyspark.sql import functions as F
 from marketloom.session import staged
 
 DAY = 86_400_000_000
+UNITS = (DAY, 3_600_000_000, 60_000_000, 1_000_000, 1_000)  # microseconds a slice may span
+SLICE_ROWS = 1_000
+
+
+def sliced(rows: DataFrame, keys: list[str], units: tuple[int, ...] = UNITS, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds `slice`: the start of the longest unit of time around `t` in which the entity has at most `slice_rows` rows.
+
+    Units that hold more are cut into the next smaller ones, which are counted only there; the last unit isn't cut. Units
+    nest, so the slices of an entity follow one another in time.
+    """
+    crowd = rows.select(*keys, "t")
+    start = lambda unit: (F.floor(F.col("t") / F.lit(unit)) * F.lit(unit)).cast("bigint")
+    out = rows.withColumn("slice", start(units[0]))
+    for unit, smaller in zip(units, units[1:]):
+        counted = crowd.groupBy(*keys, start(unit).alias("unit")).agg(F.count("*").alias("n")).where(F.col("n") > slice_rows).drop("n")
+        full = staged(counted, "history-crowds")
+        if full.isEmpty():
+            break
+        at = [*keys, "unit"]
+        crowd = crowd.withColumn("unit", start(unit)).join(full, at, "left_semi").drop("unit")
+        out = out.withColumn("unit", start(unit)).join(full.withColumn("full", F.lit(True)), at, "left").withColumn("slice", F.when(F.col("full"), start(smaller)).otherwise(F.col("slice"))).drop("unit", "full")
+    return out
 
 
 def version_history(
@@ -18,7 +40,8 @@ def version_history(
     order: str,
     active: str,
     attributes: list[str],
-    slice_micros: int = DAY,
+    units: tuple[int, ...] = UNITS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row per period in which an active entity kept one and the same set of attribute values.
 
@@ -34,10 +57,11 @@ def version_history(
 
     The observations of an entity within one slice of time are folded as a sorted array by a higher-order function that
     appends a version only upon a change; then the state carried over from earlier slices is put in front and the few
-    events left are folded again. No array holds more than one slice of one entity, and what an entity's slices tell
-    each other (their end states, the time of their first change) passes through windows over one slim row a slice; so
-    an entity with a large part of all rows, or of all changes, is spread over as many tasks as it has slices.
-    Observations are shuffled once, afterwards only changes are.
+    events left are folded again. A slice is cut by the number of its rows (`sliced`), so no array holds more than
+    `slice_rows` observations (or than there are instants in the smallest unit), however dense an entity is, and
+    appending costs no more than that many copies. What an entity's slices tell each other (their end states, the time of their
+    first change) passes through windows over one slim row a slice; so an entity with a large part of all rows, or of all
+    changes, is spread over as many tasks as it has slices. Observations are shuffled once, afterwards only changes are.
     """
     names = [f"a{i}" for i in range(len(attributes))]
     key_names = [f"k{i}" for i in range(len(keys))]
@@ -47,9 +71,12 @@ def version_history(
 
     rows = observations.select(
         *(F.col(k).alias(n) for k, n in zip(keys, key_names)),
-        F.floor(F.col(at) / F.lit(slice_micros)).cast("bigint").alias("slice"),
-        F.struct(F.col(at).cast("bigint").alias("t"), F.col(order).alias("o"), F.col(active).alias("live"), *(F.col(a).alias(n) for a, n in zip(attributes, names))).alias("e"),
-    ).where(" and ".join(f"{c} is not null" for c in (*key_names, "e.t", "e.live")))
+        F.col(at).cast("bigint").alias("t"),
+        F.col(order).alias("o"),
+        F.col(active).alias("live"),
+        *(F.col(a).alias(n) for a, n in zip(attributes, names)),
+    ).where(" and ".join(f"{c} is not null" for c in (*key_names, "t", "live")))
+    rows = sliced(staged(rows, "history-observations"), key_names, units, slice_rows)
 
     def fold(events: Column, start: Column) -> Column:
         def step(acc: Column, e: Column) -> Column:
@@ -67,9 +94,11 @@ def version_history(
 
     nothing = F.lit(None).cast(state)
     folded = (
-        rows.groupBy(*key_names, "slice")
-        .agg(F.sort_array(F.collect_list("e")).alias("es"))
-        .withColumn("es", F.filter("es", lambda e, i: (i == F.size("es") - 1) | (F.get("es", i + 1)["t"] != e["t"])))
+        rows.repartition(*(F.col(c) for c in (*key_names, "slice")))
+        .groupBy(*key_names, "slice", "t")
+        .agg(F.max(F.struct("o", "live", *names)).alias("e"))  # of several at one instant the last alone
+        .groupBy(*key_names, "slice")
+        .agg(F.sort_array(F.collect_list(F.struct("t", "e.*"))).alias("es"))
         .select(*key_names, "slice", fold(F.col("es"), nothing).alias("f"))
         .select(*key_names, "slice", F.col("f.now").alias("last"), F.col("f.out").alias("events"))
     )

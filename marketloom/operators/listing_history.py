@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.payload import with_observation
-from marketloom.operators.history import DAY, version_history
+from marketloom.operators.history import SLICE_ROWS, version_history
 from marketloom.session import epoch_micros
 
 
-def listing_history(raw: DataFrame, slice_micros: int = DAY) -> DataFrame:
+def listing_history(raw: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """marketplace, external_id, title, amount, currency, seller, valid_from, valid_to (seconds; -1 while open).
 
     Observations of a listing (marketplace and external id, else the payload's own id) in order of `collected_at`; see
@@ -27,7 +27,7 @@ def listing_history(raw: DataFrame, slice_micros: int = DAY) -> DataFrame:
         F.when(F.col("obs_amount").isNotNull(), F.struct(F.col("obs_amount").alias("amount"), F.col("obs_currency").alias("currency"))).alias("price"),
         F.col("obs_seller").alias("seller"),
     )
-    v = version_history(flat, ["marketplace", "external_id"], "at", "id", "on_sale", ["title", "price", "seller"], slice_micros)
+    v = version_history(flat, ["marketplace", "external_id"], "at", "id", "on_sale", ["title", "price", "seller"], slice_rows=slice_rows)
     second = F.lit(1_000_000)
     return v.select(
         "marketplace",

@@ -2,7 +2,9 @@ import json
 import random
 from datetime import datetime, timedelta, timezone
 
-from marketloom.operators.history import version_history
+from pyspark.sql import functions as F
+
+from marketloom.operators.history import SLICE_ROWS, sliced, version_history
 from marketloom.operators.listing_history import listing_history
 
 RAW = "id bigint, marketplace string, external_id string, search_query string, raw_payload string, collected_at timestamp, created_at timestamp"
@@ -45,9 +47,25 @@ def test_against_brute_force(spark):
         key = rng.choice(["hot", "hot", "hot", "x", "y", "z", None])
         rows.append((key, rng.choice([None] + list(range(400))) if i % 50 == 0 else rng.randrange(400), i, rng.choice([True] * 6 + [False, None]), rng.choice(["A", "B", None, "A"]), rng.choice([1, 2, None, 1])))
     df = spark.createDataFrame(rows, "k string, t bigint, o bigint, live boolean, a string, b int").selectExpr("*", "'clash' as e", "1 as slice", "2 as k0", "3 as a0")
-    for slice_micros in (1, 7, 1000):
-        got = {tuple(r) for r in version_history(df, ["k"], "t", "o", "live", ["a", "b"], slice_micros).collect()}
-        assert got == brute(rows), slice_micros
+    for units, slice_rows in (((1,), 1), ((1000, 50, 7), 20), ((1000,), 10), ((400, 100, 10, 1), 3)):
+        got = {tuple(r) for r in version_history(df, ["k"], "t", "o", "live", ["a", "b"], units, slice_rows).collect()}
+        assert got == brute(rows), units
+
+
+def test_a_dense_entity_is_cut_into_bounded_slices(spark):
+    n = 100_000
+    second = 1_000_000
+    t = F.when(F.col("id") < 90_000, F.col("id") * 500_000).otherwise(45_000 * second + (F.col("id") - 90_000) * 7)  # a day, its end a burst
+    df = spark.range(n).select(F.lit("hot").alias("k"), t.alias("t"), F.col("id").alias("o"), F.lit(True).alias("live"), (F.col("id") / 3).cast("int").alias("a"))
+    slices = sliced(df.select("k", "t"), ["k"]).groupBy("slice").count().collect()
+    assert max(r["count"] for r in slices) <= SLICE_ROWS < n / len(slices) * 20
+    got = version_history(df, ["k"], "t", "o", "live", ["a"])
+    assert got.count() == (n + 2) // 3 and got.where("valid_to is null").count() == 1 and got.where("valid_to <= valid_from").count() == 0
+
+
+def test_many_rows_at_one_instant(spark):
+    df = spark.range(50_000).select(F.lit("k").alias("k"), F.lit(5).cast("bigint").alias("t"), F.col("id").alias("o"), F.lit(True).alias("live"), F.col("id").alias("a"))
+    assert [tuple(r) for r in version_history(df, ["k"], "t", "o", "live", ["a"]).collect()] == [("k", 49_999, 5, None)]
 
 
 def test_repeats_and_empty(spark):
