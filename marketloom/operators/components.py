@@ -8,24 +8,30 @@ from pyspark.sql import functions as F
 from marketloom.session import staged
 
 
+def _mark(links: DataFrame) -> tuple:
+    """Number of links and a sum of their hashes: equal for equal sets of links."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.hash("v", "u").cast("bigint"))).first())
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, component (lowest node of the component) for `nodes` (`node`) joined by `edges` (`a`, `b`).
 
     Rounds of large-star and small-star contraction: every node is linked to the lowest node it sees, so the number of
-    rounds grows with the logarithm of the longest chain. Each round is written to the shared folder.
+    rounds grows with the logarithm of the longest chain. Each round is written to the shared folder; it is the last if
+    the number of links and a sum of their hashes stay as they were. A hub's lowest neighbour is found by an aggregation that combines
+    before the shuffle, and its links then meet that one row, so a hub's join can be split by its links (adaptive skew join).
     """
     links = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
-    settled = False
-    while not settled:
+    before, now = None, _mark(links)
+    while now != before:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         kept = large.where("u <> v").distinct()
         low = kept.groupBy("u").agg(F.min("v").alias("m"))
         small = kept.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        new = staged(small.where("u <> v").distinct(), "components")
-        settled = new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty()
-        links = new
+        links = staged(small.where("u <> v").distinct(), "components")
+        before, now = now, _mark(links)
     label = links.groupBy("u").agg(F.min("v").alias("component"))
     ids = nodes.select("node").distinct()
     return ids.join(label, ids.node == label.u, "left").select("node", F.coalesce("component", "node").alias("component"))

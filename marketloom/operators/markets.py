@@ -50,54 +50,96 @@ def document_frequencies(tokens: DataFrame) -> DataFrame:
 
 
 def _weighed(tokens: DataFrame, idf: DataFrame) -> DataFrame:
-    return tokens.select("id", "niche_key", "type_key", F.explode("tokens").alias("token")).join(idf, "token")
+    return tokens.select("id", "niche_key", "type_key", *(c for c in _SKETCH if c in tokens.columns), F.explode("tokens").alias("token")).join(idf, "token")
+
+
+_SKETCH = ("bits0", "bits1")
+
+
+def _parity(tokens: Column) -> list[Column]:
+    """128 bits, each telling whether an odd number of tokens falls on it: two sets differ in at least as many tokens as bits."""
+    place = lambda t: F.pmod(F.xxhash64(t), F.lit(128))
+    bit = lambda t, k: F.when(F.floor(place(t) / 64) == k, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place(t), F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("bigint"))
+    half = lambda k: F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseXOR(bit(t, k)))
+    return [half(k).alias(name) for k, name in enumerate(_SKETCH)]
 
 
 def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b (a < b), similarity of every pair of products that reaches the threshold (above SHARED + OVERLAP).
 
     similarity = 0.55 cosine of the idf vectors + 0.20 Jaccard of the tokens + 0.25 if niche or product type are shared.
-    Since Jaccard is 1 at most, a pair needs a cosine of (threshold - 0.45) / 0.55 if it shares niche or type and of
-    (threshold - 0.20) / 0.55 otherwise. Tokens are ordered by rarity; a vector's prefix ends where what remains can't
-    reach that cosine. Pairs that share a prefix token (within the niche, within the type, or anywhere for the stricter
-    bound) are verified exactly.
+    Tokens are ordered by rarity. From the rarest token two products share on, what is left of both vectors bounds their
+    cosine and what is left of both token sets bounds their Jaccard at the same time (as does the number of bits in which
+    sketches of the sets differ); a token is in a product's prefix if
+    the two bounds together could still reach the threshold with the best possible partner (equal from there on), and a
+    pair is a candidate if they can for these two. Where neither product could reach it with one whose rest is as small a
+    part as its own, the pair can't: so at least one is in its `near` prefix, and common tokens, which few have there,
+    aren't joined with themselves. Pairs meet at a prefix token within the niche, within the type, or,
+    where neither is shared, anywhere under the stricter threshold; each is verified exactly, once.
     """
     if threshold <= SHARED + OVERLAP:
         raise ValueError(f"the threshold must be above {SHARED + OVERLAP}")
-    tokens = staged(with_tokens(products), "market-tokens")
+    tokens = staged(with_tokens(products).withColumns(dict(zip(_SKETCH, _parity(F.col("tokens"))))), "market-tokens")
     weighed = _weighed(tokens, document_frequencies(tokens)).withColumn("w2", F.col("idf") * F.col("idf"))
-    order = W.partitionBy("id").orderBy("df", "token")
-    ranked = weighed.withColumn("norm2", F.sum("w2").over(W.partitionBy("id"))).withColumn("rest2", F.col("norm2") - F.sum("w2").over(order) + F.col("w2"))
-    ranked = staged(ranked.select("id", "niche_key", "type_key", "token", "df", "w2", "norm2", "rest2"), "market-vectors")
-
-    def candidates(cosine: float, key: str | None) -> DataFrame:
-        prefix = ranked.where((F.col("df") > 1) & (F.col("rest2") >= cosine * cosine * F.col("norm2") * (1 - 1e-9)))
+    whole, order = W.partitionBy("id"), W.partitionBy("id").orderBy("df", "token")
+    ranked = weighed.withColumn("norm2", F.sum("w2").over(whole)).withColumn("size", F.count("*").over(whole))
+    ranked = ranked.withColumn("rest2", F.col("norm2") - F.sum("w2").over(order) + F.col("w2")).withColumn("rest", F.col("size") - F.row_number().over(order) + 1)
+    ranked = staged(ranked.select("id", "niche_key", "type_key", "token", "df", "w2", "norm2", "rest2", "size", "rest", *_SKETCH), "market-vectors")
+
+    def candidates(needed: float, key: str | None) -> DataFrame:
+        """Pairs that may reach `needed` by cosine and Jaccard alone."""
+        own = COSINE * F.sqrt(F.col("rest2") / F.col("norm2")) + OVERLAP * F.col("rest") / F.col("size")
+        prefix = ranked.where((F.col("df") > 1) & (own >= needed - 1e-9))
         if key:
             prefix = prefix.where(F.col(key).isNotNull())
         on = ["token", key] if key else ["token"]
-        left = prefix.select(*on, F.col("id").alias("a"), F.col("rest2").alias("ra"), F.col("norm2").alias("na"))
-        right = prefix.select(*on, F.col("id").alias("b"), F.col("rest2").alias("rb"), F.col("norm2").alias("nb"))
-        return left.join(right, on).where("a < b").where(F.sqrt(F.col("ra") * F.col("rb")) >= cosine * F.sqrt(F.col("na") * F.col("nb")) * (1 - 1e-9)).select("a", "b")
-
-    near = (threshold - SHARED - OVERLAP) / COSINE
-    far = (threshold - OVERLAP) / COSINE
-    found = candidates(near, "niche_key").unionByName(candidates(near, "type_key"))
-    if far <= 1:
-        found = found.unionByName(candidates(far, None))
-    vectors = ranked.groupBy("id").agg(
+        prefix = prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
+        side = lambda n: prefix.select(*on, F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", *_SKETCH)), F.col("w2").alias(f"w2_{n}"), *([F.col("niche_key").alias(f"niche_{n}")] if key == "type_key" else []))
+        differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
+        common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
+        dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
+        cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
+        met = side("a").where("near_a").join(side("b"), on).where("a <> b and (a < b or not near_b)").where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
+        return (met.where("not coalesce(niche_a = niche_b, false)") if key == "type_key" else met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    found = candidates(threshold - SHARED, "niche_key").unionByName(candidates(threshold - SHARED, "type_key"))
+    if threshold <= COSINE + OVERLAP:
+        found = found.unionByName(candidates(threshold, None))
+    pairs = staged(_nearly(found.distinct(), ranked, threshold), "market-pairs")
+    once = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    vectors = ranked.join(once, "id", "left_semi").groupBy("id").agg(
         F.first("niche_key").alias("niche_key"), F.first("type_key").alias("type_key"), F.first("norm2").alias("norm2"), F.map_from_entries(F.collect_list(F.struct("token", "w2"))).alias("v")
     )
     x, y = vectors.alias("x"), vectors.alias("y")
-    pairs = found.distinct().join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
+    pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
     common = F.array_intersect(F.map_keys("x.v"), F.map_keys("y.v"))
     dot = F.aggregate(common, F.lit(0.0), lambda acc, t: acc + F.try_element_at(F.col("x.v"), t))
     cosine = F.least(F.lit(1.0), dot / F.sqrt(F.col("x.norm2") * F.col("y.norm2")))
     jaccard = F.size(common) / (F.size("x.v") + F.size("y.v") - F.size(common))
-    shared = F.coalesce(F.col("x.niche_key") == F.col("y.niche_key"), F.lit(False)) | F.coalesce(F.col("x.type_key") == F.col("y.type_key"), F.lit(False))
-    score = COSINE * cosine + OVERLAP * jaccard + F.when(shared, SHARED).otherwise(0.0)
+    score = COSINE * cosine + OVERLAP * jaccard + F.when(_shared("x", "y"), SHARED).otherwise(0.0)
     return pairs.select("a", "b", F.least(F.lit(1.0), score).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def _shared(x: str, y: str) -> Column:
+    same = lambda n: F.coalesce(F.col(f"{x}.{n}") == F.col(f"{y}.{n}"), F.lit(False))
+    return same("niche_key") | same("type_key")
+
+
+def _nearly(pairs: DataFrame, ranked: DataFrame, threshold: float) -> DataFrame:
+    """The candidate pairs that reach the threshold by weights rounded up to a millionth: a quick test that loses none.
+
+    A token and its weight are one number, so that the vectors of both are small and are intersected as such; a clash of
+    two tokens' hashes can only raise the result, and what passes is verified exactly.
+    """
+    code = F.call_function("shiftleft", F.ceil(F.col("w2") * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64("token").bitwiseAND(F.lit(0xFFFFFFFF)))
+    small = ranked.groupBy("id").agg(F.first("niche_key").alias("niche_key"), F.first("type_key").alias("type_key"), F.first("norm2").alias("norm2"), F.collect_list(code).alias("v"))
+    x, y = small.alias("x"), small.alias("y")
+    met = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).select("a", "b", "x.norm2", F.col("y.norm2").alias("other2"), F.size("x.v").alias("m"), F.size("y.v").alias("n"), F.array_intersect("x.v", "y.v").alias("common"), _shared("x", "y").alias("shared"))
+    dot = F.aggregate("common", F.lit(0).cast("bigint"), lambda acc, t: acc + F.shiftright(t, 32)) / 1e6
+    score = COSINE * dot / F.sqrt(F.col("norm2") * F.col("other2")) + OVERLAP * F.size("common") / (F.col("m") + F.col("n") - F.size("common")) + F.when(F.col("shared"), SHARED).otherwise(0.0)
+    return met.where(score >= threshold - 1e-9).select("a", "b")
+
+
 def _longest_first(values: Column) -> Column:
     return F.transform(F.array_sort(F.transform(F.array_distinct(values), lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v")))), lambda s: s["v"])
 
