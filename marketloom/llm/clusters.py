@@ -19,13 +19,14 @@ from marketloom.session import staged
 BUCKETS = 4096  # hashed words
 SKETCH = 256  # signed sums of buckets
 DIMENSIONS = 20  # principal components
-COMPONENTS = (8, 16, 32, 48, 64)  # tried first; larger ones follow while the largest has the lowest criterion
-ITERATIONS = 15
+COMPONENTS = (8, 16, 32, 64)  # tried first; larger and smaller ones follow while the last has the lowest criterion
+ITERATIONS = 15  # at most; a mixture whose likelihood hardly rises any more is left as it is
+SETTLED = 2e-4  # relative rise of the log-likelihood below which it is
 RIDGE = 0.02  # added to the diagonal of every covariance of standardised features
 SEEDS = 4_000  # rows the first means are drawn from; every other statistic covers all rows
 FIELD_WEIGHTS = {"product_name": 2.0, "keywords": 2.0, "description": 1.0}
 
-_WORD = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def _bucket(word: str) -> int:
@@ -132,20 +133,28 @@ def reduced_features(products: DataFrame) -> DataFrame:
     return words.mapInArrow(project, "product_id long, x array<float>")
 
 
+def _monomials(x: np.ndarray) -> np.ndarray:
+    """1, the features, and their products two by two: the log density of every component is linear in these."""
+    i, j = np.triu_indices(x.shape[1])
+    return np.concatenate((np.ones((len(x), 1)), x, x[:, i] * x[:, j]), axis=1)
+
+
 class Mixture:
     """Weights, means and covariances of a Gaussian mixture."""
 
     def __init__(self, weights: np.ndarray, means: np.ndarray, covariances: np.ndarray):
         self.weights, self.means, self.covariances = weights, means, covariances
-        self.inverse = np.linalg.inv(np.linalg.cholesky(covariances))
-        self.constant = np.log(np.maximum(weights, 1e-300)) + np.log(np.abs(np.diagonal(self.inverse, axis1=1, axis2=2))).sum(1) - means.shape[1] / 2 * math.log(2 * math.pi)
+        inverse = np.linalg.inv(np.linalg.cholesky(covariances))
+        constant = np.log(np.maximum(weights, 1e-300)) + np.log(np.abs(np.diagonal(inverse, axis1=1, axis2=2))).sum(1) - means.shape[1] / 2 * math.log(2 * math.pi)
+        precision = inverse.transpose(0, 2, 1) @ inverse
+        linear = np.einsum("kij,kj->ki", precision, means)
+        i, j = np.triu_indices(means.shape[1])
+        square = -0.5 * np.where(i == j, 1.0, 2.0) * precision[:, i, j]
+        self.coefficients = np.concatenate((constant[:, None] - 0.5 * (linear * means).sum(1)[:, None], linear, square), axis=1).T
 
     def log_joint(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty((len(x), len(self.weights)))
-        for k in range(len(self.weights)):
-            z = (x - self.means[k]) @ self.inverse[k].T
-            out[:, k] = self.constant[k] - 0.5 * np.einsum("ij,ij->i", z, z)
-        return out
+        """Log of weight and density of every component at every row, by one matrix product."""
+        return _monomials(x) @ self.coefficients
 
     @property
     def free_parameters(self) -> int:
@@ -220,49 +229,57 @@ def _fitted(features: DataFrame, n: int, components: tuple[int, ...], iterations
     first = np.array([r["x"] for r in features.orderBy(F.xxhash64("product_id"), "product_id").select("x").limit(wanted).collect()], float)
     models = {k: _first_mixture(first, k) for k in components}
     d = first.shape[1]
-    chunk = _rows_at_once(max(components))
+    chunk = _rows_at_once(sum(components))
     bic: dict[int, float] = {}
+    likelihood: dict[int, float] = {}
     for step in range(iterations + 1):
-        current = dict(models)
+        current = {k: m for k, m in models.items() if k not in bic}
+        if not current:
+            break
 
         def expect(batches: Iterator[pa.RecordBatch], current: dict[int, Mixture] = current) -> Iterator[pa.RecordBatch]:
-            sums = {k: [np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0] for k in current}
+            coefficients = np.concatenate([m.coefficients for m in current.values()], axis=1)
+            parts = np.split(np.arange(coefficients.shape[1]), np.cumsum(list(current))[:-1])
+            sums, likelihoods = np.zeros(coefficients.shape[::-1]), np.zeros(len(current))
             for batch in batches:
                 for begin in range(0, batch.num_rows, chunk):
-                    x = _matrix(batch.slice(begin, chunk))
-                    for k, model in current.items():
-                        joint = model.log_joint(x)
-                        density = _log_sum(joint)
-                        r = np.exp(joint - density[:, None])
-                        s = sums[k]
-                        s[0] += r.sum(0)
-                        s[1] += r.T @ x
-                        for c in range(k):
-                            s[2][c] += (x * r[:, c : c + 1]).T @ x
-                        s[3] += density.sum()
-            parts, vectors = [], []
-            for k, (r, rx, rxx, likelihood) in sums.items():
-                for c in range(k):
-                    parts.append((k << 32) + c)
-                    vectors.append(np.concatenate(([r[c], likelihood if c == 0 else 0.0], rx[c], rxx[c].ravel())).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(vectors, pa.binary())], names=["part", "v"])
+                    terms = _monomials(_matrix(batch.slice(begin, chunk)))
+                    joint = terms @ coefficients
+                    for n, own in enumerate(parts):  # each model's share of every row
+                        density = _log_sum(joint[:, own])
+                        likelihoods[n] += density.sum()
+                        joint[:, own] = np.exp(joint[:, own] - density[:, None])
+                    sums += joint.T @ terms
+            names, vectors = [], []
+            for n, (k, own) in enumerate(zip(current, parts)):
+                names += [(k << 32) + c for c in range(k)]
+                vectors += [np.concatenate(([likelihoods[n] if c == 0 else 0.0], sums[row])).tobytes() for c, row in enumerate(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(vectors, pa.binary())], names=["part", "v"])
 
         got = {r["part"]: np.frombuffer(bytes(r["v"])) for r in _summed(features.mapInArrow(expect, "part long, v binary")).collect()}
-        for k in components:
+        for k in current:
             rows = np.array([got[(k << 32) + c] for c in range(k)])
-            bic[k] = -2 * rows[0, 1] + models[k].free_parameters * math.log(n)
-            if step < iterations:
-                mass = np.maximum(rows[:, 0], 1e-9)
-                means = rows[:, 2 : 2 + d] / mass[:, None]
-                second = rows[:, 2 + d :].reshape(k, d, d) / mass[:, None, None]
-                covariances = second - means[:, :, None] * means[:, None, :]
-                empty = rows[:, 0] < 1.0
-                means[empty], covariances[empty] = models[k].means[empty], np.eye(d)
-                covariances = (covariances + covariances.transpose(0, 2, 1)) / 2 + ridge * np.eye(d)
-                models[k] = Mixture(mass / mass.sum(), means, covariances)
+            last, likelihood[k] = likelihood.get(k), rows[0, 0]
+            if step == iterations or last is not None and abs(likelihood[k] - last) <= SETTLED * abs(last):
+                bic[k] = -2 * rows[0, 0] + models[k].free_parameters * math.log(n)
+            else:
+                models[k] = _maximised(models[k], rows[:, 1:], d, ridge)
     return models, bic
 
 
+def _maximised(model: Mixture, sums: np.ndarray, d: int, ridge: float) -> Mixture:
+    """The mixture of the sums of shares, of shared features and of shared products; a component without rows stays where it is."""
+    mass = np.maximum(sums[:, 0], 1e-9)
+    means = sums[:, 1 : 1 + d] / mass[:, None]
+    i, j = np.triu_indices(d)
+    second = np.empty((len(mass), d, d))
+    second[:, i, j] = second[:, j, i] = sums[:, 1 + d :] / mass[:, None]
+    covariances = second - means[:, :, None] * means[:, None, :]
+    empty = sums[:, 0] < 1.0
+    means[empty], covariances[empty] = model.means[empty], np.eye(d)
+    return Mixture(mass / mass.sum(), means, covariances + ridge * np.eye(d))
+
+
 def similarity_clusters(products: DataFrame, components: tuple[int, ...] = COMPONENTS, iterations: int = ITERATIONS, ridge: float = RIDGE) -> DataFrame:
     """product_id, cluster, probability, log_density for every product with an id.
 
