@@ -13,7 +13,7 @@ from marketloom.session import staged
 
 SIZE = 100
 PART = 4_000  # markets one task compares with each other
-FIELD_WEIGHTS = (0.5, 0.2, 0.3)
+FIELD_WEIGHTS = (0.5, 0.2, 0.3)  # of three fields; any other number of fields weigh the same unless weights are given
 
 
 def plain_value(value: Column) -> Column:
@@ -61,27 +61,34 @@ def lazy_greedy(codes: np.ndarray, weights: np.ndarray, field_weights: tuple[flo
     return chosen, gains, served
 
 
-def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int = SIZE, field_weights: tuple[float, ...] = FIELD_WEIGHTS, part: int = PART) -> DataFrame:
+def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int = SIZE, field_weights: tuple[float, ...] | None = None, part: int = PART) -> DataFrame:
     """rank, id, the fields in plain form, group_size (rows of the same combination) and gain of the chosen subset.
 
     Rows with equal fields (case, marks, spaces and plurals aside) are one market whatever their number, represented by
     its lowest id; what covering a market is worth is shared out so that each value of a field is worth the same in all.
     So neither common markets nor common values can fill the subset, and a group holding a large part of all rows costs
     no more than any other. Round one: the markets are spread over parts
-    (two at least, of about `part` markets at most), each of which nominates `size` candidates by lazy greedy choice together with the weight
-    they cover; repeated while more than `part` candidates are left. Round two: a last lazy greedy choice among the
-    candidates, which cover the weights of the markets they stand for.
+    (two at least, of about `part` markets, or four times `size` if that is more), each of which nominates `size` candidates by lazy greedy choice together with the weight
+    they cover; repeated while more than one part is left. Round two: a last lazy greedy choice among the
+    candidates, which cover the weights of the markets they stand for; the weight of a market that no nominee of its part
+    is like at all is spread evenly over them, so that the total stays what it was.
 
-    A NULL or blank field is like no other; a row with none of the fields known is a market that covers itself alone.
+    `field_weights` must be as many as the fields. A NULL or blank field is like no other; a row with none of the fields known is a market that covers itself alone.
     Rows without an id are left out. Fewer markets than `size` are all chosen. Empty tables give an empty result. Only
     the columns named are read, whatever else there is.
     """
+    if field_weights is None:
+        field_weights = FIELD_WEIGHTS if len(fields) == len(FIELD_WEIGHTS) else (1.0 / max(len(fields), 1),) * len(fields)
+    if len(field_weights) != len(fields) or not fields:
+        raise ValueError(f"{len(field_weights)} weights for {len(fields)} fields")
+    part = max(part, 4 * size)  # a part must leave out most of its markets, or rounds wouldn't end
     names = [f"f{i}" for i in range(len(fields))]
     markets = (
         rows.where(F.col(id_column).isNotNull())
         .groupBy(*(plain_value(F.col(f).cast("string")).alias(n) for f, n in zip(fields, names)))
         .agg(F.min(F.col(id_column).cast("long")).alias("id"), F.count("*").alias("group_size"))
     )
+    markets = staged(markets, "subset-combinations")
     weight = F.lit(0.0)
     for n, w in zip(names, field_weights):  # every value of a field is worth the same, however many markets have it
         sharing = markets.where(F.col(n).isNotNull()).groupBy(n).agg(F.count("*").alias(f"{n}_markets"))
@@ -97,6 +104,7 @@ def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int
         codes = np.stack([pd.factorize(group[n])[0] for n in names], axis=1)
         chosen, gains, served = lazy_greedy(codes, group["weight"].to_numpy(), weights_of_fields, size)
         out = group.iloc[chosen].reset_index(drop=True)
+        served = served + (group["weight"].sum() - served.sum()) / max(len(served), 1)
         return out.assign(weight=served, place=np.arange(1, len(out) + 1, dtype=np.int32), gain=np.array(gains, float))[[*columns, "place", "gain"]]
 
     left = staged(markets.select(*columns), "subset-markets")
@@ -106,9 +114,7 @@ def varied_subset(rows: DataFrame, id_column: str, fields: list[str], size: int
         first, parts = False, max(2, -(-n // part))
         nominated = left.groupBy(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part")).applyInPandas(lambda g: choose(g[columns]), schema)
         left = staged(nominated.select(*columns), "subset-candidates")
-        before, n = n, left.count()
-        if n >= before:  # parts no larger than the subset itself: nothing more to leave out before the last choice
-            break
+        n = left.count()
     final = left.groupBy(F.col("weight").isNull().alias("all")).applyInPandas(lambda g: choose(g[columns]), schema)
     return final.select(F.col("place").alias("rank"), F.col("id").alias(id_column if id_column != "id" else "chosen_id"), *(F.col(n).alias(f) for n, f in zip(names, fields)), "group_size", "gain")
 

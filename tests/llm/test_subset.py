@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from marketloom.llm.subset import lazy_greedy, subset_coverage, varied_subset
 
@@ -71,3 +72,17 @@ def test_nulls_ties_and_empty(spark):
     got = varied_subset(make(spark, rows), "id", FIELDS, 100).collect()
     assert sorted(r.chosen_id for r in got) == [1, 2, 4]
     assert varied_subset(make(spark, []), "id", FIELDS, 5).count() == 0
+
+
+def test_parts_no_larger_than_the_subset_still_shrink(spark):
+    rows = [(i, f"n{i % 97}", f"t{i % 13}", f"p{i % 7}") for i in range(3000)]
+    assert varied_subset(make(spark, rows), "id", FIELDS, 20, part=5).count() == 20
+
+
+def test_any_number_of_fields(spark):
+    rows = [(i, f"n{i % 5}", f"t{i % 3}", "p") for i in range(60)]
+    assert varied_subset(make(spark, rows), "id", FIELDS[:1], 5).count() == 5
+    four = varied_subset(make(spark, rows), "id", [*FIELDS, "f0"], 6)
+    assert four.count() == 6 and four.columns[2:6] == [*FIELDS, "f0"]
+    with pytest.raises(ValueError):
+        varied_subset(make(spark, rows), "id", FIELDS, 5, (0.5, 0.5))
