@@ -64,6 +64,12 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p7_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture itself, a row for each copy."""
+    documents = table(spark, sf_dir, "documents")
+    return mixing.emitted(documents, staged(mixing.mixture(documents, table(spark, sf_dir, "mix_targets"))[1], "mix-shares"))
+
+
 def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
@@ -85,6 +91,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {
     f.__name__: _shipped(f)
-    for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p6_near, p7_mixture, p7_shares, p8_levels, p8_profile)
+    for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p6_near, p7_mixture, p7_shares, p7_documents, p8_levels, p8_profile)
 }
 SQL: dict[str, str] = {}

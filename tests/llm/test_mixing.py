@@ -48,8 +48,15 @@ def test_mixture(spark):
     total = 3500 * 4
     reached = sum(r.n_tokens * r.copies for r in got)
     assert abs(reached - total) < 0.05 * total and abs(share["small_source"].reached_share - 1 / 3) < 0.02
-    texts = mixing.emitted(documents(spark, rows), selection)
-    assert texts.count() == sum(r.copies for r in got)
+    assert abs(sum(r.reached_share for r in share.values()) - 1) < 1e-9 and share["small_source"].corpus_share == share["small_source"].reached_tokens / total
+    texts = mixing.emitted(documents(spark, rows), shares).groupBy("doc_id").count().collect()
+    assert {(r.doc_id, r["count"]) for r in texts} == {(r.doc_id, r.copies) for r in got}
+
+
+def test_repeated_rows_with_other_texts_are_drawn_apart(spark):
+    rows = [(1, f"text {i}", "a") for i in range(2000)]
+    got = mixing.mixture(documents(spark, rows + [(2, "other words here", "b")] * 1000), spark.createDataFrame([("a", 0.3, 1), ("b", 0.7, 9)], TARGETS))[0]
+    assert 300 < got.where("source_name = 'a'").count() < 1900
 
 
 def test_empty(spark):
