@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -34,10 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, one machine) a temporary folder of this machine is set.
+    Only where that setting is absent and the session runs on one machine a temporary folder of this machine is set; on a
+    cluster its absence is an error, as workers would write where nobody else reads.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="marketloom-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -49,17 +53,38 @@ _RUN = uuid.uuid4().hex
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The tables of one driver lie in one folder of their own; `drop_staged` removes it when the results are written.
+    The tables of one driver lie in one folder of their own, which goes when the driver ends; `drop_staged` removes it before,
+    when the results are written.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/marketloom-{_RUN}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    file_system, folder = _staging(spark)
+    if not file_system.exists(folder):
+        file_system.mkdirs(folder)
+        file_system.deleteOnExit(folder)
+    path = f"{folder.toString()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _staging(spark: SparkSession):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/marketloom-{_RUN}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete all tables this driver has staged. DataFrames that read them can't be used any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/marketloom-{_RUN}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    file_system, folder = _staging(spark)
+    file_system.delete(folder, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One file of text at any path Spark can reach, local or shared; an existing file is an error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
 
 
 _shipped: set[str] = set()
@@ -70,7 +95,9 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        target = os.path.join(tempfile.mkdtemp(prefix="marketloom-package-"), "marketloom")
+        folder = tempfile.mkdtemp(prefix="marketloom-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        target = os.path.join(folder, "marketloom")
         spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "marketloom"))
         _shipped.add(app)
 

@@ -9,22 +9,35 @@ from pyspark.sql import functions as F
 from marketloom.operators import relational as R
 from marketloom.operators.ingestion import ingest, normalize
 from marketloom.sources import listings, sinks
-from marketloom.streaming.ingest import current_products, ingest_stream
+from marketloom.streaming.ingest import compact_products, current_products, ingest_stream, raw_history
 
 RAW = "id bigint, marketplace string, external_id string, search_query string, raw_payload string, collected_at timestamp"
 AT = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
 
 def etsy(**more):
-    return json.dumps({"listing_id": 5, "title": " Bakery\n Costing ", "url": "https://Etsy.example/l/5?utm_a=1&variation=42", "price": {"amount": 1299, "divisor": 100, "currency_code": "usd"}, "review_count": "1,234 reviews", "rating": "4.9 / 5", "shop_name": " Flour  & Co", "tags": ["Bakery", "bakery", "cost"], "images": [{"url_fullxfull": "https://i.example/1.png?ref=a"}], "original_creation_timestamp": 1714435200, **more})
+    base = {
+        "listing_id": 770,
+        "title": "\tReef   Tank\u00a0Dosing Planner ",
+        "url": "HTTPS://Shop.Example/item/770?ref=front&size=xl&utm_term=reef#reviews",
+        "price": {"amount": "4500", "divisor": 1000, "currency_code": " eur"},
+        "review_count": "2.6k",
+        "rating": "3,5 / 5",
+        "shop_name": "Tide   Desk",
+        "tags": ["Reef", " reef ", "salt", ""],
+        "images": [{"url_570xN": "https://pics.example/a.png?click_key=9"}, {"other": 1}],
+        "creation_timestamp": 1714003200,
+        "product_type": "Tracker",
+    }
+    return json.dumps(base | more)
 
 
 def test_normalize(spark):
-    rows = [(1, "etsy", "5", "q", etsy(), AT), (2, "etsy", "6", "q", etsy(title=None), AT), (3, "gumroad", "7", "q", "{}", AT), (4, "etsy", "8", "q", "{broken", AT), (5, None, None, None, None, None)]
+    rows = [(1, "etsy", "770", "q", etsy(), AT), (2, "etsy", "6", "q", etsy(title=None), AT), (3, "gumroad", "7", "q", "{}", AT), (4, "etsy", "8", "q", "{broken", AT), (5, None, None, None, None, None)]
     got = {r.raw_product_id: r for r in normalize(spark.createDataFrame(rows, RAW)).collect()}
     r = got[1]
-    assert (r.product_name, r.url, float(r.price), r.currency, r.review_count, r.rating, r.seller, r.keywords, r.image_urls, r.listing_age_days, r.identity_key, r.error) == (
-        "Bakery Costing", "https://etsy.example/l/5?variation=42", 12.99, "USD", 1234, 4.9, "Flour & Co", ["Bakery", "cost"], ["https://i.example/1.png"], 1, "etsy:id:5", None,
+    assert (r.product_name, r.url, float(r.price), r.currency, r.review_count, r.rating, r.seller, r.keywords, r.image_urls, r.listing_age_days, r.identity_key, r.product_type, r.error) == (
+        "Reef Tank Dosing Planner", "https://shop.example/item/770?size=xl", 4.5, "EUR", 2600, 3.5, "Tide Desk", ["Reef", "salt"], ["https://pics.example/a.png"], 6, "etsy:id:770", "tracker", None,
     )
     assert [got[i].error for i in (2, 3, 4, 5)] == ["no name or address", "unregistered marketplace", "unreadable payload", "unregistered marketplace"]
 
@@ -49,6 +62,15 @@ def test_relational(spark):
     assert R.observation_metadata([1, 2], edges, products).first().observations == 2
     assert R.observation_metadata([], edges, products).first().observations == 0
     assert R.cluster_members(edges, products).count() == 1
+    earlier = spark.createDataFrame([("b", 9, 5, 5)], "k string, v int, created_at int, updated_at int")
+    assert [r.created_at for r in R.upsert(old, earlier, "k", ["updated_at"]).where("k = 'b'").collect()] == [10]
+    assert [(r.k, r["rank"]) for r in R.ranked(new, [F.col("updated_at").desc(), F.col("v")], 2).collect()] == [("c", 1), ("b", 2)]
+    got = R.latest_values(old.select("k"), "k", {"n": (new, ["updated_at"], ["v"])}).collect()
+    assert {(r.k, r.n_v) for r in got} == {("a", None), ("b", None)}
+    known = spark.createDataFrame([("x", 5)], "identity_key string, id bigint")
+    made = spark.createDataFrame([(1, "x", 0.5), (1, "x", 0.5), (1, "y", 0.5)], "cluster_id bigint, identity_key string, membership_score double")
+    saved, missing = R.save_memberships(made, known)
+    assert [tuple(r) for r in saved.collect()] == [(1, 0.5, 5)] and [r.identity_key for r in missing.collect()] == ["y"]
 
 
 def test_sinks(spark, tmp_path):
@@ -57,8 +79,12 @@ def test_sinks(spark, tmp_path):
     assert sinks.write_report({"top": df}, folder) == ["report.json", "top.csv"]
     text = open(os.path.join(folder, "report.json"), encoding="utf-8").read()
     assert json.loads(text)["top"][0]["keywords"] == ["a", "b"] and text.endswith("}\n")
-    part = next(f for f in os.listdir(os.path.join(folder, "top.csv")) if f.endswith(".csv"))
-    assert open(os.path.join(folder, "top.csv", part), encoding="utf-8").read() == 'id,score,note,keywords\n1,2.5,,a | b\n2,3,"x,y",\n'
+    assert open(os.path.join(folder, "top.csv"), encoding="utf-8").read() == 'id,score,note,keywords\n1,2.5,,a | b\n2,3,"x,y",\n'
+    sinks.write_csv(df.coalesce(1), str(tmp_path / "parts"))
+    part = next(f for f in os.listdir(tmp_path / "parts") if f.endswith(".csv"))
+    assert open(tmp_path / "parts" / part, encoding="utf-8").read() == 'id,score,note,keywords\n1,2.5,,a | b\n2,3,"x,y",\n'
+    one = sinks.write_search_result(df, str(tmp_path / "found"), "etsy", "Reef  Tank!", AT)
+    assert one.endswith("found/etsy/reef-tank/2024-05-01T00-00-00.json") and json.loads(open(one).read())["products"][1]["note"] == "x,y"
     with pytest.raises(FileExistsError):
         sinks.write_report({"top": df}, folder)
     with pytest.raises(ValueError):
@@ -66,17 +92,36 @@ def test_sinks(spark, tmp_path):
     assert sinks.search_result_path("out", "etsy", "a-b", AT).endswith("etsy/a-b/2024-05-01T00-00-00.json")
     (tmp_path / "terms.json").write_text('[" Bakery ", "", "cake"]')
     assert listings.taxonomy(spark, str(tmp_path / "terms.json")) == ["bakery", "cake"]
-    assert listings.taxonomy(spark, str(tmp_path / "missing.json")) == []
+    (tmp_path / "broken.json").write_text("[")
+    assert listings.taxonomy(spark, str(tmp_path / "missing.json")) == listings.taxonomy(spark, str(tmp_path / "broken.json")) == []
+    (tmp_path / "terms").mkdir()
+    for name, text in (("a.json", '["Cake"]'), ("b.json", '["ink", "cake"]')):
+        (tmp_path / "terms" / name).write_text(text)
+    assert listings.taxonomy(spark, str(tmp_path / "terms")) == ["cake", "ink"]
     (tmp_path / "l.json").write_text(etsy() + "\n[]\n")
-    assert [r.external_id for r in listings.json_listings(spark, str(tmp_path / "l.json"), "etsy", " a  b ", "listing_id").collect()] == ["5"]
+    assert [r.external_id for r in listings.json_listings(spark, str(tmp_path / "l.json"), "etsy", " a  b ", "listing_id").collect()] == ["770"]
+
+
+def test_recorded_pages(spark, tmp_path):
+    page = lambda offset, ids, query="reef": json.dumps({"query": query, "offset": offset, "results": [i if i is None else {"listing_id": i} for i in ids]})
+    (tmp_path / "p.json").write_text("\n".join([page(2, [3, None]), page(0, [1, 2]), page(4, [5]), page(6, [7, 8]), page(0, [99], "other"), "no page"]))
+    source = listings.RecordedPages(str(tmp_path / "p.json"), page_size=2)
+    assert sorted(r.external_id for r in source.search(spark, " reef ", 50).collect()) == ["1", "2", "3", "5"]
+    assert sorted(r.external_id for r in source.search(spark, "reef", 3).collect()) == ["1", "2", "3"]
+    assert source.search(spark, "none", 9).count() == 0
 
 
 def test_stream(spark, tmp_path):
     source, target, state = (str(tmp_path / x) for x in ("source", "target", "state"))
-    for i, title in enumerate(("First", "Second")):
+    for i, title in enumerate(("First", "Second", "Third")):
         spark.createDataFrame([(i, "etsy", "5", "q", etsy(title=title), AT), (10 + i, "etsy", "9", "q", "{", AT)], RAW).write.mode("append").parquet(source)
         ingest_stream(spark, source, target, state).awaitTermination()
-    assert [r.product_name for r in current_products(spark, target).collect()] == ["Second"]
+        assert [r.product_name for r in current_products(spark, target).collect()] == [title]
+        if i:
+            compact_products(spark, target)
+            assert len([f for f in os.listdir(f"{target}/products") if f.startswith("batch=")]) == 1
+    assert [r.product_name for r in current_products(spark, target).collect()] == ["Third"]
+    assert raw_history(spark, target).count() == 6
 
 
 def test_staged_tables_are_dropped_together(spark):
