@@ -105,7 +105,8 @@ def controlled_product_type(text: Column) -> Column:
 
 
 def listing_age_days(listed: Column, now: Column) -> Column:
-    return F.greatest(F.lit(0), F.datediff(now, listed))
+    """Whole days since a listing was made, at least 0; NULL if either date is unknown."""
+    return F.when(listed.isNotNull() & now.isNotNull(), F.greatest(F.lit(0), F.datediff(now, listed)))
 
 
 def slug(text: Column, fallback: str = "product-market") -> Column:
@@ -128,9 +129,13 @@ def price_display(amount: Column, currency: Column) -> Column:
 
 # Words that say nothing about the market of a listing.
 PROMOTIONAL = (
-    "digital download instant editable printable best seller bundle premium 2026 2025 2024 sale offer new popular etsy excel google kindle canva xlsx csv pdf"
-).split()
-NOISE = "for and the with from your home shop online".split()
+    "digital", "download", "instant", "editable", "printable", "best", "seller", "bundle", "premium", "2026",
+    "2025", "2024", "sale", "offer", "new", "popular", "etsy", "excel", "google", "kindle",
+    "canva", "xlsx", "csv", "pdf",
+)
+NOISE = (
+    "for", "and", "the", "with", "from", "your", "home", "shop", "online",
+)
 
 
 def singular(token: Column) -> Column:

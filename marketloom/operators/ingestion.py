@@ -54,7 +54,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         squeeze(either(F.coalesce(j("shop_name"), j("seller")), j("seller_name"))).alias("seller"),
         L.normalize_keywords(either(j("tags"), j("keywords"))).alias("keywords"),
         squeeze(j("description")).alias("description"),
-        either(images, L.normalize_keywords(j("image_urls"))).alias("image_urls"),
+        F.coalesce(either(images, L.normalize_keywords(j("image_urls"))), F.array().cast("array<string>")).alias("image_urls"),
         squeeze(j("category")).alias("category"),
         F.when(m == "etsy", listed).alias("listing_date"),
     )

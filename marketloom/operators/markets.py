@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +27,8 @@ TYPES = {
     "calculator": "calculator", "calculators": "calculator", "spreadsheet": "spreadsheet", "spreadsheets": "spreadsheet", "tracker": "tracker",
     "trackers": "tracker", "template": "template", "templates": "template", "planner": "planner", "workbook": "workbook", "tool": "tool", "sheet": "sheet",
 }
+# Terms of the niche taxonomy (`sources.listings.taxonomy` reads others), words too general for keywords,
+# plural names of types, and the words that open or close a two-word keyword.
 NICHES = ("bakery", "airbnb", "wedding", "tattoo artist", "etsy", "home baker", "short term rental", "marketplace seller", "cake", "custom cake", "rental property", "event planning")
 GENERIC = ("calculator", "spreadsheet", "tracker", "template", "planner", "tool", "sheet", "pricing", "costing", "budget", "fee", "roi", "inventory")
 PLURALS = {t: t.capitalize() + "s" for t in ("calculator", "spreadsheet", "tracker", "template", "planner", "tool", "sheet")}
@@ -149,14 +155,14 @@ def _looked_up(tokens: Column, known: dict[str, str]) -> Column:
     return F.array_compact(F.transform(tokens, lambda t: F.try_element_at(table, t)))
 
 
-def with_terms(tokens: DataFrame) -> DataFrame:
+def with_terms(tokens: DataFrame, niches: tuple[str, ...] = NICHES) -> DataFrame:
     """Adds niche_terms, problem_terms, type_terms (longest first) and keywords (at most ten) to token rows."""
     t = F.col("tokens")
     joined = F.array_join(t, " ")
     has = lambda w: F.when(F.array_contains(t, w), F.lit(w))
     niche = F.array_compact(
         F.concat(
-            F.array(F.nullif(F.lower("niche"), F.lit("")), *(has(w) for w in NICHES if " " not in w)),
+            F.array(F.nullif(F.lower("niche"), F.lit("")), *(has(w) for w in niches if " " not in w)),
             F.array(F.when(F.array_contains(t, "tattoo") | F.array_contains(t, "ink"), F.lit("tattoo artist"))),
         )
     )
@@ -226,12 +232,80 @@ def describe_markets(members: DataFrame) -> DataFrame:
     )
 
 
-def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(clusters, memberships) of the products. Groups smaller than `minimum_size` are dropped unless they are single."""
-    tokens = staged(with_terms(with_tokens(products)), "market-terms")
+def confidences(members: DataFrame, block: int = 512) -> DataFrame:
+    """component, confidence: the mean similarity of all pairs of members, idf taken from the component alone; 1 for a single member.
+
+    `members` has component, id, tokens, niche_key and type_key. No pair of members is made: the cosines of all pairs add
+    up to half of what the squared sum of the unit vectors exceeds their squares by, which is a sum over tokens; pairs that share niche or
+    type are counted from group sizes. Only the Jaccard part needs pairs; there equal token sets count once with
+    their multiplicity, and the different ones are compared in blocks of `block` sets by matrix products, each pair of
+    blocks of a component being a row of a join that gives one number. A member without tokens is like no other.
+    """
+    n = members.groupBy("component").agg(F.count("*").alias("n"))
+    told = members.where(F.size("tokens") > 0).join(n.where("n > 1"), "component").select("component", "id", "n", "tokens", F.lower("niche_key").alias("niche_key"), F.nullif("type_key", F.lit("")).alias("type_key"))
+    told = staged(told, "market-told")
+    rows = told.select("component", "id", "n", F.explode("tokens").alias("token"))
+    idf = rows.groupBy("component", "token").agg((F.log((F.first("n") + 1.0) / (F.count("*") + 1)) + 1).alias("idf"))
+    weighed = rows.join(idf, ["component", "token"])
+    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
+    summed = weighed.join(norms, "id").groupBy("component", "token").agg(F.sum(F.col("idf") / F.col("norm")).alias("s")).groupBy("component").agg(F.sum(F.col("s") * F.col("s")).alias("squares"))
+    pairs = F.col("c") * (F.col("c") - 1) / 2
+    sharing = lambda *keys: told.dropna(subset=list(keys)).groupBy("component", *keys).agg(F.count("*").alias("c")).select("component", (pairs * (-1 if len(keys) > 1 else 1)).alias("p"))
+    shared = sharing("niche_key").unionByName(sharing("type_key")).unionByName(sharing("niche_key", "type_key")).groupBy("component").agg(F.sum("p").alias("shared"))
+    size = told.groupBy("component").agg(F.count("*").alias("m"))
+    out = n.join(size, "component", "left").join(summed, "component", "left").join(shared, "component", "left").join(_jaccard_sums(told, block), "component", "left")
+    total = COSINE * (F.col("squares") - F.col("m")) / 2 + OVERLAP * F.col("jaccard") + SHARED * F.coalesce("shared", F.lit(0.0))
+    mean = F.coalesce(total, F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)
+    return out.select("component", F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)), 4)).alias("confidence"))
+
+
+def _jaccard_sums(told: DataFrame, block: int) -> DataFrame:
+    """component, jaccard: the sum of the Jaccard similarities of all pairs of members with tokens."""
+    sets = told.groupBy("component", F.array_sort("tokens").alias("tokens")).agg(F.count("*").alias("times"))
+    order = W.partitionBy("component").orderBy("tokens")
+    placed = sets.withColumn("at", F.row_number().over(order) - 1).withColumn("block", F.floor(F.col("at") / block).cast("int"))
+    packed = staged(placed.groupBy("component", "block").agg(F.collect_list(F.struct("tokens", "times")).alias("sets")), "market-blocks")  # `block` sets at most
+    left, right = packed.select("component", F.col("block").alias("i"), F.col("sets").alias("left")), packed.select("component", F.col("block").alias("j"), F.col("sets").alias("right"))
+    met = left.join(right, "component").where("i <= j").select("component", (F.col("i") == F.col("j")).alias("same"), "left", "right")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [_jaccard_of(*row) for row in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=["component", "s"])
+
+    return met.mapInArrow(add, "component long, s double").groupBy("component").agg(F.sum("s").alias("jaccard"))
+
+
+def _jaccard_of(same: bool, left: list[dict], right: list[dict]) -> float:
+    numbers: dict[str, int] = {}
+    for x in (*left, *right):
+        for t in x["tokens"]:
+            numbers.setdefault(t, len(numbers))
+
+    def matrix(sets: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        m = np.zeros((len(sets), len(numbers)), np.float32)
+        for r, x in enumerate(sets):
+            m[r, [numbers[t] for t in x["tokens"]]] = 1
+        return m, m.sum(1), np.array([x["times"] for x in sets], float)
+
+    (a, na, ta), (b, nb, tb) = matrix(left), matrix(right)
+    common = a @ b.T
+    jaccard = common / (na[:, None] + nb[None, :] - common)
+    total = float(ta @ jaccard @ tb)
+    return (total - float(ta.sum())) / 2 if same else total  # in one block each pair stands twice and each member once with itself
+
+
+def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int = 2, niches: tuple[str, ...] = NICHES) -> tuple[DataFrame, DataFrame]:
+    """(clusters, memberships) of the products. Groups smaller than `minimum_size` are dropped unless they are single.
+
+    Every member's `membership_score` is the confidence of its cluster.
+    """
+    tokens = staged(with_terms(with_tokens(products), niches), "market-terms")
     edges = staged(similar_products(products, threshold), "market-edges")
     parts = connected_components(tokens.select(F.col("id").alias("node")), edges)
     members = staged(tokens.join(parts, tokens.id == parts.node).drop("node"), "market-members")
     described = describe_markets(members)
     kept = described.where((F.col("product_count") >= minimum_size) | (F.col("product_count") == 1))
-    return kept, members.select("component", F.col("id").alias("product_id")).join(kept.select("component"), "component", "left_semi")
+    sure = staged(confidences(members), "market-confidences")
+    memberships = members.select("component", F.col("id").alias("product_id")).join(kept.select("component"), "component", "left_semi").join(sure.withColumnRenamed("confidence", "membership_score"), "component")
+    return kept.join(sure, "component"), memberships

@@ -143,7 +143,7 @@ def test_cluster_summaries(spark):
     products = spark.createDataFrame(rows, schema)
     edges = spark.createDataFrame([(1, i) for i in range(1, 6)] * 2 + [(None, 1), (2, 99)], "cluster_id bigint, product_id bigint")
     c = K.concentration(edges, products).collect()
-    assert [(r.competitor_count, r.seller_count, r.top_seller_listing_share, r.top_3_review_share) for r in c] == [(5, 2, 0.8, 0.8)]
+    assert [(r.competitor_count, r.seller_count, r.top_seller_listing_share, r.top_3_review_share) for r in c] == [(5, 2, 0.8, 1.0)]
     d = K.dispersion(edges, products).first()
     assert (d.priced, d.price_min, d.price_median, d.price_max, d.price_mean) == (4, 1.0, 2.5, 4.0, 2.5)
     s = K.price_segments(edges, products).first()
@@ -152,3 +152,13 @@ def test_cluster_summaries(spark):
     assert {r.signal for r in K.top_signals(edges, products).collect()} == {"a", "bakery", "longer", "words"}
     assert K.images(edges, products).where("url is null").count() == 2
     assert K.concentration(edges.limit(0), products).count() == 0
+    five = products.withColumn("seller", F.col("id").cast("string"))  # five sellers with 10 to 50 reviews
+    assert K.concentration(edges, five).first().top_3_review_share == 0.8
+    q = K.quality_signals(edges, products).first()
+    assert (q.rating_median, q.rated_share, round(q.quality, 6)) == (4.0, 1.0, 0.84) and q.differentiation == 0.0 and 0 < q.price_compression < 1
+    assert round(q.depth, 6) == round(3 / 80 * 0.7 + 2 / 12 * 0.3, 6)
+    v = K.review_coverage(edges, products).first()
+    assert (v.reviews_available, v.reviews_analyzed, v.review_coverage) == (True, 150, 1.0)
+    clusters = spark.createDataFrame([(1, ["Zed", "a"]), (7, None)], "id bigint, keywords array<string>")
+    assert {r.cluster_id: r.keywords for r in K.cluster_keywords(clusters, edges, products).collect()} == {1: ["bakery", "longer", "words", "zed", "a"], 7: []}
+    assert [tuple(r) for r in K.long_tail_keywords(edges, products).collect()] == [(1, "a a", 1)]

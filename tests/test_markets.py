@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from marketloom.operators.components import connected_components
-from marketloom.operators.markets import markets, similar_products, with_terms, with_tokens
+from marketloom.operators.markets import confidences, markets, similar_products, with_terms, with_tokens
 
 SCHEMA = "id bigint, product_name string, niche string, category string, product_type string, keywords array<string>, description string, tokens int, df int"
 
@@ -75,4 +75,39 @@ def test_terms_and_markets(spark):
     got = {r.component: r for r in clusters.collect()}
     assert got[1].product_count == 2 and got[1].cluster_name == "Bakery Pricing Calculators" and got[1].slug == "bakery-pricing-calculators"
     assert got[3].cluster_name == "Tattoo Artist ROI Trackers" and got[4].cluster_name == "Product Market"
-    assert {(r.component, r.product_id) for r in members.collect()} == {(1, 1), (1, 2), (3, 3), (4, 4)}
+    assert got[3].confidence == got[4].confidence == 1.0 and 0.9 < got[1].confidence <= 1
+    assert {(r.component, r.product_id, r.membership_score) for r in members.collect()} == {(1, 1, got[1].confidence), (1, 2, got[1].confidence), (3, 3, 1.0), (4, 4, 1.0)}
+
+
+def test_confidence_against_brute_force(spark):
+    df = with_tokens(products(spark, invented(90)))
+    members = df.withColumn("component", F.when(F.col("id") > 84, F.col("id")).otherwise(F.col("id") % 3))
+    rows = members.collect()
+    want = {}
+    for c in {r.component for r in rows}:
+        group = [r for r in rows if r.component == c]
+        n = len(group)
+        count = {}
+        for r in group:
+            for t in r.tokens:
+                count[t] = count.get(t, 0) + 1
+        idf = {t: math.log((n + 1) / (k + 1)) + 1 for t, k in count.items()}
+        norm = lambda z: math.sqrt(sum(idf[w] ** 2 for w in z))
+        total = 0.0
+        for i, x in enumerate(group):
+            for y in group[i + 1 :]:
+                s, t = set(x.tokens), set(y.tokens)
+                if s and t:
+                    shared = (x.niche_key and x.niche_key == y.niche_key) or (x.type_key and x.type_key == y.type_key)
+                    total += 0.55 * sum(idf[w] ** 2 for w in s & t) / norm(s) / norm(t) + 0.2 * len(s & t) / len(s | t) + (0.25 if shared else 0)
+        want[c] = 1.0 if n == 1 else round(total / (n * (n - 1) / 2), 4)
+    for block in (4, 512):
+        got = {r.component: r.confidence for r in confidences(members, block).collect()}
+        assert set(got) == set(want) and all(abs(got[c] - want[c]) < 2e-4 for c in want)
+    assert confidences(members.limit(0)).count() == 0
+
+
+def test_niches_come_from_the_taxonomy_given(spark):
+    df = products(spark, [(1, "Reef tank dosing planner", None, None, None, ["coral"], None)])
+    assert with_terms(with_tokens(df), ("coral", "reef")).first().niche_terms == ["coral", "reef"]
+    assert with_terms(with_tokens(df)).first().niche_terms == []
