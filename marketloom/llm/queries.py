@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import clusters, matching, mixing, readability, subset
 from marketloom.llm.leakage import SHARE, leak_matches, leaks
+from marketloom.llm.sql import SQL as SQL
 from marketloom.session import ship_package, staged, table
 
 
@@ -43,7 +44,8 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id", "matched_words", "item_words")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +95,3 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (p1_subset, p1_coverage, p3_members, p3_clusters, p4_found, p4_groups, p6_found, p6_leaks, p6_near, p7_mixture, p7_shares, p7_documents, p8_levels, p8_profile)
 }
-SQL: dict[str, str] = {}
