@@ -179,7 +179,8 @@ def c_components(spark: SparkSession, d: str) -> DataFrame:
 
 def c_markets(spark: SparkSession, d: str) -> DataFrame:
     ship_package(spark)
-    return M.markets(table(spark, d, "products"))[0]
+    listed = lambda n: F.array_join(n, "|").alias(n)
+    return M.markets(table(spark, d, "products"))[0].select("component", "product_count", "cluster_name", "slug", "niche", "product_type", "primary_problem", listed("secondary_problems"), listed("keywords"), "confidence")
 
 
 def c_memberships(spark: SparkSession, d: str) -> DataFrame:

@@ -101,6 +101,71 @@ edges as (
   where similarity >= 0.72
 )"""
 
+_CONFIDENT = """
+sized as (select component, count(*) as n from member group by 1),
+own as (select component, token, ln((any_value(n) + 1.0) / (count(*) + 1)) + 1 as idf from tokens join member using (id) join sized using (component) group by 1, 2),
+vector as (select m.component, m.id, t.token, o.idf from member m join tokens t on t.id = m.id join own o on o.component = m.component and o.token = t.token),
+len as (select id, sqrt(sum(idf * idf)) as norm, count(*) as k from vector group by 1),
+pair as (select a.component, a.id as a, b.id as b, (a.nk = b.nk) is true or (a.tk = b.tk) is true as shared from member a join member b on a.component = b.component and a.id < b.id),
+common as (select p.component, p.a, p.b, sum(x.idf * x.idf) as dot, count(*) as c from pair p join vector x on x.id = p.a join vector y on y.id = p.b and y.token = x.token group by 1, 2, 3),
+score as (select p.component, case when x.norm is null or y.norm is null then 0 else 0.55 * coalesce(dot, 0) / (x.norm * y.norm) + 0.20 * coalesce(c, 0) / (x.k + y.k - coalesce(c, 0)) + case when shared then 0.25 else 0 end end as s
+  from pair p left join common q using (component, a, b) left join len x on x.id = p.a left join len y on y.id = p.b),
+confident as (select component, round(least(1, greatest(0, avg(s))), 4) as confidence from score group by 1)"""
+_GROUPED = EDGES + """,
+both_ways as materialized (select a, b from edges union select b, a from edges),
+reach(node, other) as (select distinct a, a from both_ways union select r.node, e.b from reach r join both_ways e on e.a = r.other),
+member as (select p.id, coalesce(min(other), p.id) as component, nullif(lower(any_value(p.niche)), '') as nk, nullif(any_value(p.product_type), '') as tk, any_value(p.product_type) as kind, any_value(p.product_name) as name
+  from products p left join reach on reach.node = p.id group by p.id)"""
+
+
+def _terms(name: str, rows: str) -> str:
+    """id, component, value, pos: different terms of a product, the longest first."""
+    return f"{name} as (select id, component, value, row_number() over (partition by id order by length(value) desc, value) - 1 as pos from (select distinct id, component, value from ({rows}) where value is not null))"
+
+
+def _elected(source: str) -> str:
+    return f"(select component, value from (select component, value, count(*) as votes, min({{'id': id, 'at': pos}}) as seen from {source} group by 1, 2) qualify row_number() over (partition by component order by votes desc, seen) = 1)"
+
+
+def _titled(t: str) -> str:
+    return f"array_to_string(list_transform(regexp_extract_all(lower({t}), '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || x[2:]), '')"
+
+
+_PROBLEM_WORDS = "(values ('pricing', 'pricing'), ('price', 'pricing'), ('cost', 'costing'), ('costing', 'costing'), ('budget', 'budgeting'), ('budgeting', 'budgeting'), ('roi', 'roi'), ('return', 'roi'), ('profit', 'profit'), ('fee', 'fee'), ('fees', 'fee'), ('inventory', 'inventory'), ('expense', 'expense'), ('expenses', 'expense'), ('commission', 'commission'), ('pricing calculator', 'pricing'), ('cost calculator', 'costing')) k(word, value)"
+_TYPE_WORDS = "('calculator', 'spreadsheet', 'tracker', 'template', 'planner', 'workbook', 'tool', 'sheet')"
+_GENERAL = "('calculator', 'spreadsheet', 'tracker', 'template', 'planner', 'tool', 'sheet', 'pricing', 'costing', 'budget', 'fee', 'roi', 'inventory')"
+_MARKETS = f"""
+with recursive {_GROUPED},
+{_CONFIDENT},
+placed as (
+  select id, case when t like '%ies' and length(t) > 4 then t[:-4] || 'y' when t like '%sses' and length(t) > 5 then t[:-3] when t like '%s' and t not like '%ss' and length(t) > 3 then t[:-2] else t end as token, i
+  from (select id, unnest(ts) as t, unnest(range(len(ts))) as i from (select id, list_filter(regexp_split_to_array(lower(concat_ws(' ', product_name, niche, category, product_type, array_to_string(keywords, ' '), description)), '[^a-z0-9]+'), lambda x: x <> '') as ts from products))),
+ordered as (select id, component, token, row_number() over (partition by id order by i) as i from (select id, token, min(i) as i from placed where token not in ({_STOP}) group by 1, 2) join member using (id)),
+line as (select id, component, string_agg(token, ' ' order by i) as joined from ordered group by 1, 2),
+{_terms("niches", "select id, component, nk as value from member union all select id, component, token from ordered where token in ('bakery', 'airbnb', 'wedding', 'etsy', 'cake') union all select id, component, 'tattoo artist' from ordered where token in ('tattoo', 'ink')")},
+first_niche as (select * from niches where pos = 0),
+{_terms("problems", f"select id, component, value from line, {_PROBLEM_WORDS} where contains(joined, word)")},
+{_terms("kinds", f"select id, component, lower(kind) as value from member union all select id, component, token from ordered where token in {_TYPE_WORDS}")},
+single as (select id, component, token as word, row_number() over (partition by id order by i) as pos from ordered where length(token) > 2 qualify pos <= 8),
+double as (select l.id, l.component, l.token || ' ' || r.token as word, 8 + l.i as pos from ordered l join ordered r on r.id = l.id and r.i = l.i + 1
+  where l.token in ('custom', 'home', 'cake', 'wedding', 'airbnb', 'bakery', 'etsy', 'tattoo') or r.token in ('pricing', 'costing', 'budget', 'roi', 'fee', 'tracker', 'sheet', 'calculator')),
+phrases as (select id, component, word as value, row_number() over (partition by id order by pos) - 1 as nth from (select * from single union all select * from double) qualify nth < 10),
+counted as (select component, value, count(*) as votes, min({{'id': id, 'at': nth}}) as seen from phrases group by 1, 2),
+top as (select *, row_number() over (partition by component order by votes desc, seen) as r from counted qualify r <= 12),
+listed as (select component, list(value order by r) as words, list(value order by r) filter (value not in {_GENERAL}) as special from top group by 1),
+named as (select component, count(*) as product_count, arg_min(trim(name), id) as first_name from member group by 1),
+voted as (select n.*, a.value as niche, b.value as problem, lower(c.value) as kind from named n left join {_elected("first_niche")} a using (component) left join {_elected("problems")} b using (component) left join {_elected("kinds")} c using (component)),
+other as (select component, string_agg(value, '|' order by i) as secondary from (select component, value, row_number() over (partition by component order by length(value) desc, value) as i
+  from (select distinct p.component, p.value from problems p join voted v on v.component = p.component where p.value is distinct from v.problem)) where i <= 3 group by 1),
+labelled as (select *, case when kind in ('calculator', 'spreadsheet', 'tracker', 'template', 'planner', 'tool', 'sheet') then {_titled("kind")} || 's' else {_titled("kind")} end as plural,
+  case when problem = 'roi' then 'ROI' else {_titled("problem")} end as trouble, {_titled("niche")} as place from voted),
+final as (select *, case when niche is not null and problem is not null and kind is not null then place || ' ' || trouble || ' ' || plural when niche is not null and kind is not null then place || ' ' || plural
+  when niche is not null and problem is not null then place || ' ' || trouble when kind is not null then plural else coalesce(first_name, 'Product Market') end as cluster_name from labelled)
+select component, product_count, cluster_name, coalesce(nullif(regexp_replace(regexp_replace(lower(cluster_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'product-market') as slug,
+  niche, kind as product_type, problem as primary_problem, coalesce(secondary, '') as secondary_problems,
+  coalesce(array_to_string((case when len(special) > 0 then special else words end)[1:10], '|'), '') as keywords, coalesce(confidence, 1.0) as confidence
+from final left join other using (component) left join listed using (component) left join confident using (component)"""
+
 SQL = {
     "q_recent_products": "select id, identity_key, cast(floor(epoch(updated_at)) as bigint) as updated_at from products where marketplace = 'etsy' order by products.updated_at desc nulls last, id desc limit 50",
     "q_recent_raw": "select id, marketplace, external_id from raw_marketplace_products order by id desc limit 50",
@@ -206,20 +271,7 @@ select * from (select *, row_number() over (partition by cluster_id order by use
     "k_images": f"""
 select cluster_id, id as product_id, cast(i - 1 as int) as position, image_urls[i] as url from (
   select *, unnest(case when len(coalesce(image_urls, [])) = 0 then [null] else range(1, len(image_urls) + 1) end) as i from ({_MEMBERS}))""",
-    "c_memberships": f"""
-with recursive {EDGES},
-both_ways as materialized (select a, b from edges union select b, a from edges),
-reach(node, other) as (select distinct a, a from both_ways union select r.node, e.b from reach r join both_ways e on e.a = r.other),
-member as (select p.id, coalesce(min(other), p.id) as component, nullif(lower(any_value(p.niche)), '') as nk, nullif(any_value(p.product_type), '') as tk from products p left join reach on reach.node = p.id group by p.id),
-sized as (select component, count(*) as n from member group by 1),
-own as (select component, token, ln((any_value(n) + 1.0) / (count(*) + 1)) + 1 as idf from tokens join member using (id) join sized using (component) group by 1, 2),
-vector as (select m.component, m.id, t.token, o.idf from member m join tokens t on t.id = m.id join own o on o.component = m.component and o.token = t.token),
-len as (select id, sqrt(sum(idf * idf)) as norm, count(*) as k from vector group by 1),
-pair as (select a.component, a.id as a, b.id as b, (a.nk = b.nk) is true or (a.tk = b.tk) is true as shared from member a join member b on a.component = b.component and a.id < b.id),
-common as (select p.component, p.a, p.b, sum(x.idf * x.idf) as dot, count(*) as c from pair p join vector x on x.id = p.a join vector y on y.id = p.b and y.token = x.token group by 1, 2, 3),
-score as (select p.component, case when x.norm is null or y.norm is null then 0 else 0.55 * coalesce(dot, 0) / (x.norm * y.norm) + 0.20 * coalesce(c, 0) / (x.k + y.k - coalesce(c, 0)) + case when shared then 0.25 else 0 end end as s
-  from pair p left join common q using (component, a, b) left join len x on x.id = p.a left join len y on y.id = p.b),
-confident as (select component, round(least(1, greatest(0, avg(s))), 4) as confidence from score group by 1)
+    "c_memberships": f"""with recursive {_GROUPED}, {_CONFIDENT}
 select component, id as product_id, coalesce(confidence, 1.0) as membership_score from member left join confident using (component)""",
     "k_quality": f"""
 with m as (select cluster_id, id, price, rating, case when description <> '' then len(list_filter(regexp_split_to_array(trim(description), '\\s+'), lambda w: w <> '')) end as words,
@@ -248,4 +300,5 @@ select c.cluster_id, coalesce(string_agg(k, '|' order by i), '') as keywords fro
     "k_long_tail": f"""
 with p as (select distinct cluster_id, array_to_string(list_filter(list_transform(keywords, lambda k: lower(trim(k)))[1:4], lambda k: k <> ''), ' ') as phrase from ({_MEMBERS}) where len(keywords) >= 2)
 select * from (select *, row_number() over (partition by cluster_id order by phrase) as rank from p) where rank <= 8""",
+    "c_markets": _MARKETS,
 }
