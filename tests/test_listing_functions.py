@@ -43,7 +43,7 @@ def test_keywords_slugs_and_types(spark):
 def test_identity_age_and_display(spark):
     df = spark.createDataFrame([("etsy", "1", "u", date(2024, 1, 1), date(2024, 1, 11), 5.0, "BRL"), ("etsy", "", "u", date(2024, 2, 1), date(2024, 1, 1), None, "USD"), ("etsy", None, None, None, None, 1.0, "JPY")], "m string, e string, u string, l date, n date, a double, c string")
     got = df.select(L.identity_key(F.col("m"), F.col("e"), F.col("u")), L.listing_age_days(F.col("l"), F.col("n")), L.price_display(F.col("a"), F.col("c"))).collect()
-    assert [tuple(r) for r in got] == [("etsy:id:1", 10, "R$ 5.00"), ("etsy:url:u", 0, None), (None, 0, "JPY 1.00")]
+    assert [tuple(r) for r in got] == [("etsy:id:1", 10, "R$ 5.00"), ("etsy:url:u", 0, None), (None, None, "JPY 1.00")]
 
 
 def test_words(spark):
