@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketloom.functions.listing import clustering_tokens, slug
+from marketloom.functions.units import let
 from marketloom.operators.components import connected_components
 from marketloom.session import staged
 
@@ -91,6 +92,7 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
     ranked = weighed.withColumn("norm2", F.sum("w2").over(whole)).withColumn("size", F.count("*").over(whole))
     ranked = ranked.withColumn("rest2", F.col("norm2") - F.sum("w2").over(order) + F.col("w2")).withColumn("rest", F.col("size") - F.row_number().over(order) + 1)
     ranked = staged(ranked.select("id", "niche_key", "type_key", "token", "df", "w2", "norm2", "rest2", "size", "rest", *_SKETCH), "market-vectors")
+    small = staged(ranked.groupBy("id").agg(F.collect_list(_code("w2", "token")).alias("v")), "market-codes")
 
     def candidates(needed: float, key: str | None) -> DataFrame:
         """Pairs that may reach `needed` by cosine and Jaccard alone."""
@@ -99,19 +101,21 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
         if key:
             prefix = prefix.where(F.col(key).isNotNull())
         on = ["token", key] if key else ["token"]
-        prefix = prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
-        side = lambda n: prefix.select(*on, F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", *_SKETCH)), F.col("w2").alias(f"w2_{n}"), *([F.col("niche_key").alias(f"niche_{n}")] if key == "type_key" else []))
+        prefix = prefix.join(small, "id").withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
+        side = lambda n: prefix.select(*on, F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "v", *_SKETCH)), *([F.col("niche_key").alias(f"niche_{n}")] if key == "type_key" else []))
         differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
         common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
         dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
         cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
         met = side("a").where("near_a").join(side("b"), on).where("a <> b and (a < b or not near_b)").where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
-        return (met.where("not coalesce(niche_a = niche_b, false)") if key == "type_key" else met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        if key == "type_key":
+            met = met.where("not coalesce(niche_a = niche_b, false)")
+        return met.where(_roughly() >= needed - 1e-9).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     found = candidates(threshold - SHARED, "niche_key").unionByName(candidates(threshold - SHARED, "type_key"))
     if threshold <= COSINE + OVERLAP:
         found = found.unionByName(candidates(threshold, None))
-    pairs = staged(_nearly(found.distinct(), ranked, threshold), "market-pairs")
+    pairs = staged(found.distinct(), "market-pairs")
     once = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     vectors = ranked.join(once, "id", "left_semi").groupBy("id").agg(
         F.first("niche_key").alias("niche_key"), F.first("type_key").alias("type_key"), F.first("norm2").alias("norm2"), F.map_from_entries(F.collect_list(F.struct("token", "w2"))).alias("v")
@@ -131,19 +135,20 @@ def _shared(x: str, y: str) -> Column:
     return same("niche_key") | same("type_key")
 
 
-def _nearly(pairs: DataFrame, ranked: DataFrame, threshold: float) -> DataFrame:
-    """The candidate pairs that reach the threshold by weights rounded up to a millionth: a quick test that loses none.
+def _code(weight: str, token: str) -> Column:
+    """A token and its weight, rounded up to a millionth, as one number."""
+    return F.call_function("shiftleft", F.ceil(F.col(weight) * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64(token).bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    A token and its weight are one number, so that the vectors of both are small and are intersected as such; a clash of
-    two tokens' hashes can only raise the result, and what passes is verified exactly.
+
+def _roughly() -> Column:
+    """Cosine and Jaccard part of the similarity of two rows with codes `v_a` and `v_b`, never less than it is.
+
+    A clash of two tokens' hashes and the rounding of weights can only raise it, so as a test it loses no pair; what
+    passes is verified exactly.
     """
-    code = F.call_function("shiftleft", F.ceil(F.col("w2") * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64("token").bitwiseAND(F.lit(0xFFFFFFFF)))
-    small = ranked.groupBy("id").agg(F.first("niche_key").alias("niche_key"), F.first("type_key").alias("type_key"), F.first("norm2").alias("norm2"), F.collect_list(code).alias("v"))
-    x, y = small.alias("x"), small.alias("y")
-    met = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).select("a", "b", "x.norm2", F.col("y.norm2").alias("other2"), F.size("x.v").alias("m"), F.size("y.v").alias("n"), F.array_intersect("x.v", "y.v").alias("common"), _shared("x", "y").alias("shared"))
-    dot = F.aggregate("common", F.lit(0).cast("bigint"), lambda acc, t: acc + F.shiftright(t, 32)) / 1e6
-    score = COSINE * dot / F.sqrt(F.col("norm2") * F.col("other2")) + OVERLAP * F.size("common") / (F.col("m") + F.col("n") - F.size("common")) + F.when(F.col("shared"), SHARED).otherwise(0.0)
-    return met.where(score >= threshold - 1e-9).select("a", "b")
+    both = let(F.array_intersect("v_a", "v_b"), lambda c: F.struct(F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, t: acc + F.shiftright(t, 32)).alias("dot"), F.size(c).alias("n")))
+    score = lambda x: COSINE * x["dot"] / 1e6 / F.sqrt(F.col("norm2_a") * F.col("norm2_b")) + OVERLAP * x["n"] / (F.col("size_a") + F.col("size_b") - x["n"])
+    return let(both, score)
 
 
 def _longest_first(values: Column) -> Column:
