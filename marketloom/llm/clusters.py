@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,43 +23,34 @@ RIDGE = 0.02  # added to the diagonal of every covariance of standardised featur
 SEEDS = 4_000  # rows the first means are drawn from; every other statistic covers all rows
 FIELD_WEIGHTS = {"product_name": 2.0, "keywords": 2.0, "description": 1.0}
 
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def _bucket(word: str) -> int:
-    return crc32(word.encode()) % BUCKETS
+def _hashes(text: str) -> Column:
+    """The bucket of every word of a text column, as often as it occurs."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"\p{L}+"), 0)
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
 
 
 def hashed_words(products: DataFrame) -> DataFrame:
     """product_id, buckets, weights: hashed words of name, keywords and description with damped counts.
 
-    Only letters count; words are weighed by the field they stand in. A row without a word has empty arrays.
+    Only letters count; words are weighed by the field they stand in. A row without a word has empty arrays. Words are
+    found and hashed by built-in functions; counting them is one sort of numbers per batch.
     """
     factors = list(FIELD_WEIGHTS.values())
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ends, buckets, weights = [], [0], [], []
-            for product, *texts in zip(*(c.to_pylist() for c in batch.columns)):
-                counts: Counter = Counter()
-                for factor, text in zip(factors, texts):
-                    for word in _WORD.findall((text or "").lower()):
-                        b = known.get(word)
-                        if b is None:
-                            b = _bucket(word)
-                            if len(known) < 500_000:
-                                known[word] = b
-                        counts[b] += factor
-                ids.append(product)
-                buckets += counts.keys()
-                weights += (1 + math.log(c) for c in counts.values())
-                ends.append(len(buckets))
-            lists = lambda v, k: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, k))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists(buckets, pa.int32()), lists(weights, pa.float32())], names=["product_id", "buckets", "weights"])
-
-    rows = products.where("id is not null").select(F.col("id").cast("long"), F.col("product_name"), F.concat_ws(" ", "keywords"), F.col("description"))
-    return rows.mapInArrow(hashed, "product_id long, buckets array<int>, weights array<float>")
+            keys, worth = [], []
+            for factor, lists in zip(factors, batch.columns[1:]):
+                keys.append(np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())) * BUCKETS + lists.flatten().to_numpy())
+                worth.append(np.full(len(keys[-1]), factor))
+            once, at = np.unique(np.concatenate(keys), return_inverse=True)
+            weights = 1 + np.log(np.bincount(at, np.concatenate(worth), minlength=len(once)))
+            ends = np.searchsorted(once, np.arange(batch.num_rows + 1) * BUCKETS).astype(np.int32)
+            lists = lambda v, k: pa.ListArray.from_arrays(pa.array(ends), pa.array(v, k))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists((once % BUCKETS).astype(np.int32), pa.int32()), lists(weights.astype(np.float32), pa.float32())], names=["product_id", "buckets", "weights"])
+
+    rows = products.where("id is not null").select(F.col("id").cast("long").alias("product_id"), "product_name", F.concat_ws(" ", "keywords").alias("keywords"), "description")
+    return rows.select("product_id", *(_hashes(f) for f in FIELD_WEIGHTS)).mapInArrow(count, "product_id long, buckets array<int>, weights array<float>")
 
 
 def _sketcher(idf: np.ndarray):
