@@ -140,7 +140,7 @@ def _iso_column() -> Column:
 
 
 _GROUPING = r"['’    ]"
-NUMBER = r"\d+(?:[.,]\d+|" + _GROUPING + r"\d{3}(?!\d))*"
+NUMBER = r"\d++(?:[.,]\d++|" + _GROUPING + r"\d{3}(?!\d))*+"  # possessive: of any length without recursion
 
 
 def number(text: Column) -> Column:

@@ -13,7 +13,7 @@ FX = "currency string, rate_month string, usd_per_unit decimal(18,6)"
 def tables(spark):
     pound = json.dumps({"price_text": "£9.99", "available": True})
     older = json.dumps({"price_text": "£99.99", "available": True})
-    raw = spark.createDataFrame([(1, "mock", "a", pound, AT), (2, "mock", "b", "{broken", AT), (1, "mock", "a", pound, AT), (1, "mock", "a", older, AT - timedelta(days=1))], R)
+    raw = spark.createDataFrame([(1, "mock", "a", pound, AT), (2, "mock", "b", "{broken", AT), (3, "mock", "c", json.dumps({"price_text": "$" + "1," * 60_000, "available": True}), AT), (1, "mock", "a", pound, AT), (1, "mock", "a", older, AT - timedelta(days=1))], R)
     fx = spark.createDataFrame([("USD", "2025-03", Decimal(1)), ("GBP", "2025-03", Decimal("1.25")), ("JPY", "2025-03", Decimal("0.0067"))], FX)
     return raw, fx
 
@@ -39,6 +39,7 @@ CASES = [
     (None, "5", None, "Handles orders up to $39,000.", None, None, None, None),
     (None, "5", "EUR", None, "5", "EUR", None, True),
     (9, "5", "USD", "x" * 50_000, "5", "USD", 500, True),
+    (None, "5", "USD", "$" + "1,1." * 30_000 + " $7 EUR9 " * 5_000 + "thousands " * 5_000, "5", "USD", 500, True),
     (None, None, None, None, None, None, None, None),
 ]
 
