@@ -99,6 +99,23 @@ def normalize_keywords(values: Column) -> Column:
     return let(clean, lambda ks: F.filter(ks, lambda k, i: F.array_position(F.transform(ks, lambda x: F.lower(x)), F.lower(k)) == i + 1))
 
 
+def combined_keywords(*sources: Column) -> Column:
+    """Several keyword arrays one after another, each word once, in the spelling that comes first; NULL sources are empty."""
+    none = F.array().cast("array<string>")
+    return normalize_keywords(F.concat(*(F.coalesce(s, none) for s in sources)))
+
+
+def first_filled(*texts: Column) -> Column:
+    """The first text that isn't NULL or blank, without outer white space."""
+    return F.coalesce(*(F.nullif(F.trim(t), F.lit("")) for t in texts))
+
+
+def safe_number(value: Column) -> Column:
+    """A number as double; what can't be read as a finite one is NULL."""
+    n = F.trim(value.cast("string")).try_cast("double")
+    return F.when(~F.isnan(n) & (F.abs(n) < float("inf")), n)
+
+
 def controlled_product_type(text: Column) -> Column:
     value = F.lower(F.trim(text))
     return F.when(value.isin(*PRODUCT_TYPES), value)

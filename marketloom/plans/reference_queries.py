@@ -10,7 +10,7 @@ from marketloom.operators import concentration as K
 from marketloom.operators import markets as M
 from marketloom.operators import relational as R
 from marketloom.operators.components import connected_components
-from marketloom.operators.ingestion import ingest
+from marketloom.operators.ingestion import ingest, normalize
 from marketloom.plans.reference_sql import SQL as SQL
 from marketloom.session import ship_package, staged, table
 
@@ -52,6 +52,13 @@ def q_observed(spark: SparkSession, d: str) -> DataFrame:
     return m.select("observations", _seconds("first_collected_at"), _seconds("last_collected_at"))
 
 
+def q_memberships(spark: SparkSession, d: str) -> DataFrame:
+    """Memberships named by identity, as a clustering run hands them over, resolved to the ids of stored products."""
+    products = table(spark, d, "products")
+    named = table(spark, d, "product_cluster_memberships").join(products.select(F.col("id").alias("product_id"), "identity_key"), "product_id")
+    return R.save_memberships(named.select("cluster_id", "membership_score", "identity_key"), products)[0]
+
+
 def q_latest_scores(spark: SparkSession, d: str) -> DataFrame:
     """Every market (slug) with its latest cluster's size and confidence, and the latest run it was in."""
     clusters, runs = table(spark, d, "product_clusters"), table(spark, d, "cluster_runs")
@@ -128,6 +135,13 @@ def n_keywords(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "products").select("id", F.array_join(L.normalize_keywords(F.col("keywords")), "|").alias("keywords"))
 
 
+def n_combined(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords, niche, type and category of each product in one list, its best label, and its rating as text read back."""
+    p = table(spark, d, "products")
+    words = L.combined_keywords(F.col("keywords"), F.array("niche"), F.array("product_type"), F.array("category"))
+    return p.select("id", F.array_join(words, "|").alias("keywords"), L.first_filled(F.col("niche"), F.col("category"), F.col("search_query")).alias("label"), L.safe_number(F.col("rating").cast("string")).alias("rating"))
+
+
 def n_slugs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "product_clusters").select("id", L.slug(F.col("cluster_name")).alias("slug"))
 
@@ -142,6 +156,11 @@ def g_report(spark: SparkSession, d: str) -> DataFrame:
     return ingest(table(spark, d, "raw_marketplace_products"))[1]
 
 
+def g_errors(spark: SparkSession, d: str) -> DataFrame:
+    """How many raw rows of each marketplace give no product, and why (NULL: they do)."""
+    return normalize(table(spark, d, "raw_marketplace_products")).groupBy("marketplace", "error").agg(F.count("*").alias("rows"))
+
+
 _PRODUCT_COLUMNS = "raw_product_id marketplace external_id search_query product_name url product_type price currency review_count rating seller description category listing_age_days identity_key".split()
 
 
@@ -235,8 +254,8 @@ def k_long_tail(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        q_recent_products, q_recent_raw, q_lookup, q_cluster, q_observed, q_latest_scores, q_ranking, q_histogram, q_counts, q_top_clusters, q_cluster_members,
-        q_latest_observation, q_latest_run, q_observation_metadata, n_texts, n_urls, n_display, n_keywords, n_slugs, n_identities, g_report, g_products, g_upsert,
+        q_recent_products, q_recent_raw, q_lookup, q_cluster, q_observed, q_memberships, q_latest_scores, q_ranking, q_histogram, q_counts, q_top_clusters, q_cluster_members,
+        q_latest_observation, q_latest_run, q_observation_metadata, n_texts, n_urls, n_display, n_keywords, n_combined, n_slugs, n_identities, g_report, g_errors, g_products, g_upsert,
         c_tokens, c_idf, c_similar, c_components, c_markets, c_memberships, k_concentration, k_dispersion, k_keywords, k_price_segments, k_signals, k_images,
         k_quality, k_reviews, k_cluster_keywords, k_long_tail,
     )

@@ -176,6 +176,7 @@ SQL = {
       left join (select distinct cluster_id, product_id from product_cluster_memberships) m on m.cluster_id = c.id left join products p on p.id = m.product_id""",
     "q_observed": """select count(*) as observations, cast(floor(epoch(min(p.collected_at))) as bigint) as first_collected_at, cast(floor(epoch(max(p.collected_at))) as bigint) as last_collected_at
       from product_cluster_memberships m join products p on p.id = m.product_id where m.cluster_id in (select id from product_clusters order by id desc limit 10)""",
+    "q_memberships": "select distinct cluster_id, membership_score, product_id from product_cluster_memberships join products on products.id = product_id",
     "q_latest_scores": """
 with c as (select slug, product_count, confidence from product_clusters qualify row_number() over (partition by slug order by created_at desc nulls last, id desc) = 1),
 r as (select slug, algorithm, run_id from product_clusters c join cluster_runs r on r.id = c.run_id where started_at is not null
@@ -207,6 +208,8 @@ select id, source, {_url("u")} as url from u where u is not null""",
     "n_keywords": """
 select id, array_to_string(list_filter(ks, lambda k, i: list_position(list_transform(ks, lambda x: lower(x)), lower(k)) = i), '|') as keywords
 from (select id, list_filter(list_transform(coalesce(keywords, []), lambda k: nullif(trim(regexp_replace(k, '\\s+', ' ', 'g')), '')), lambda k: k is not null) as ks from products)""",
+    "n_combined": f"""select id, array_to_string({_keywords("list_concat(coalesce(keywords, []), [niche, product_type, category])")}, '|') as keywords,
+      coalesce(nullif(trim(niche), ''), nullif(trim(category), ''), nullif(trim(search_query), '')) as label, rating from products""",
     "n_slugs": "select id, coalesce(nullif(regexp_replace(regexp_replace(lower(cluster_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'product-market') as slug from product_clusters",
     "n_identities": """select id, case when coalesce(external_id, '') <> '' then marketplace || ':id:' || external_id when coalesce(url, '') <> '' then marketplace || ':url:' || url end as identity,
       case when lower(trim(product_type)) in ('spreadsheet', 'calculator', 'tracker', 'template', 'unknown') then lower(trim(product_type)) end as type,
@@ -220,6 +223,12 @@ k as (select marketplace, case when {_SQUEEZE.format("json_extract_string(j, cas
       || list_sort(list_filter(string_split(regexp_extract(json_extract_string(j, case marketplace when 'etsy' then '$.url' else '$.listing_url' end), '\\?([^#]*)', 1), '&'),
            lambda p: p <> '' and not regexp_matches(p, '^(utm_|ref=)')))::varchar) end as key from n)
 select marketplace, count(*) as raw_collected, count(key) as normalized, count(distinct key) as inserted, count(key) - count(distinct key) as updated, count(*) - count(key) as failed from k group by 1""",
+    "g_errors": f"""
+with {NORMALIZED},
+r as (select r.marketplace, case when r.marketplace is null or r.marketplace not in ('etsy', 'mock') then 'unregistered marketplace' when r.j is null then 'unreadable payload'
+    when n.product_name is null or n.url is null then 'no name or address' end as error
+  from ({_READ}) r left join normalized n on n.raw_product_id = r.id)
+select marketplace, error, count(*) as rows from r group by 1, 2""",
     "g_products": f"""
 with {NORMALIZED}
 select * exclude (keywords, collected_at), array_to_string(keywords, '|') as keywords, '' as image_urls, cast(null as bigint) as listing_date, cast(null as int) as listing_age_days,

@@ -48,3 +48,9 @@ def test_identity_age_and_display(spark):
 
 def test_words(spark):
     assert values(spark, L.words, ["Bakeries & Classes, boxes: glass CANVAS", None]) == [["bakery", "class", "boxe", "glass", "canva"], []]
+
+
+def test_combined_keywords_and_first_filled(spark):
+    df = spark.createDataFrame([(["A b", " a  B "], None, " ", " x ", "1e400"), (None, ["c", None], None, None, " 2.5 ")], "k array<string>, l array<string>, s string, t string, n string")
+    got = df.select(L.combined_keywords(F.col("k"), F.col("l")), L.first_filled(F.col("s"), F.col("t")), L.safe_number(F.col("n"))).collect()
+    assert [tuple(r) for r in got] == [(["A b"], "x", None), (["c"], None, 2.5)]
