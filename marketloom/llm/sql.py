@@ -2,7 +2,9 @@
 
 _COVERED = r"""
 with texts as (select doc_id as id, 'd' as side, text as t from documents where text is not null union all select item_id, 'i', item_text from eval_items where item_text is not null),
-unescaped as (select id, side, replace(replace(replace(replace(regexp_replace(regexp_replace(t, '\\[nrt]', ' ', 'g'), '\\(["''/\\])', '\1', 'g'), '&amp;', '&'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' ') as t from texts),
+decoded as (select id, side, array_to_string(list_transform(string_split(t, '\u'),
+  lambda p, i: case when i > 1 and regexp_matches(p, '^[0-9a-fA-F]{4}') then chr(cast('0x' || p[1:4] as int)) || p[5:] else p end), '') as t from texts),
+unescaped as (select id, side, replace(replace(replace(replace(regexp_replace(regexp_replace(t, '\\[nrt]', ' ', 'g'), '\\(["''/\\])', '\1', 'g'), '&amp;', '&'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' ') as t from decoded),
 untagged as (select id, side, regexp_replace(regexp_replace(regexp_replace(t, '(?i)</?(b|i|u|em|strong|span|a|font|wbr|sup|sub|mark|code|small|big|tt|s|ins|del)\b[^<>]*>', '', 'g'), '</?[a-zA-Z!][^<>]*>', ' ', 'g'), '[\x{ad}\x{34f}\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{feff}]', '', 'g') as t from unescaped),
 joined as (select id, side, regexp_replace(t, '(\p{L})[-\x{2010}\x{2011}][ \t]*\r?\n\s*(\p{L})', '\1\2', 'g') as t from untagged),
 worded as (select distinct id, side, regexp_extract_all(lower(strip_accents(t)), '[a-z0-9]+|[^\x00-\x7f\W_]+') as w from joined),
