@@ -15,6 +15,13 @@ def find(df: DataFrame, limit: int, order: list[Column], **equal: object) -> Dat
     return df.orderBy(*order).limit(limit)
 
 
+def lookup(df: DataFrame, **equal: object) -> DataFrame:
+    """All rows whose columns equal the given values, NULL being equal to NULL; the comparisons are pushed to the scan."""
+    for name, value in equal.items():
+        df = df.where(F.col(name).isNull() if value is None else F.col(name) == F.lit(value))
+    return df
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last by `order` (NULLs first). Combined before the shuffle, so a hot key costs no more than another."""
     rest = [c for c in df.columns if c not in keys]

@@ -32,7 +32,7 @@ def q_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Products by identity: the rows of the marketplace and external id that the newest product with one has."""
     products = table(spark, d, "products")
     key = R.find(products.where("external_id is not null"), 1, [F.col("id").desc()]).select("marketplace", "external_id").first()
-    found = products if key is None else R.find(products, 1_000, [F.col("id")], **key.asDict())
+    found = products.limit(0) if key is None else R.lookup(products, **key.asDict())
     return found.select("id", "identity_key", "marketplace", "external_id")
 
 
