@@ -55,7 +55,7 @@ def trusted_statements(said: DataFrame, known: DataFrame) -> DataFrame:
     scale = unit(F.when(F.col("kind") == "scale", plain))["scale"]
     parsed = said.select("product_id", "kind", "left", "right", money(F.when(F.col("kind") == "price", F.col("said"))).alias("money"), currency_code(F.when(F.col("kind") == "currency", F.col("said"))).alias("code"), scale.cast("decimal(12,4)").alias("scale"))
     parsed = staged(parsed.where("money.amount is not null or code is not null or scale is not null"), "price-mentions")
-    j = parsed.join(known, "product_id")
+    j = parsed.join(known.hint("merge"), "product_id")  # both grow with the products: neither is broadcast
     stated = F.col("money.amount").cast("decimal(24,6)")
     agrees = (
         F.when(F.col("kind") == "price", (stated == F.col("raw_amount")) & (F.col("money.currency") == F.col("raw_currency")))
@@ -71,8 +71,8 @@ def trusted_statements(said: DataFrame, known: DataFrame) -> DataFrame:
         .groupBy("kind", "c.side", "c.words")
         .agg(((F.sum(F.col("agrees").cast("int")) + 1) / (F.count("*") + 2)).alias("trust"))
     )
-    unknown = parsed.join(known.select("product_id"), "product_id", "left_anti")
-    judged = unknown.select("*", sides()).select("product_id", "kind", "money", "code", "scale", "left", "right", "c.side", "c.words").join(learnt, ["kind", "side", "words"], "left")
+    unknown = parsed.join(known.select("product_id").hint("merge"), "product_id", "left_anti")
+    judged = unknown.select("*", sides()).select("product_id", "kind", "money", "code", "scale", "left", "right", "c.side", "c.words").join(learnt.hint("merge"), ["kind", "side", "words"], "left")
     needed = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in TRUSTED.items()))
     best = judged.groupBy("product_id", "kind", "money", "code", "scale", "left", "right").agg(F.max("trust").alias("trust"))
     best = best.where(F.col("trust").isNull() & ((F.col("kind") == "price") | (F.col("left") != "")) | (F.col("trust") >= needed))
@@ -114,7 +114,7 @@ def resolved_prices(products: DataFrame, raw: DataFrame, rates: DataFrame) -> Da
     j = p.drop("description").join(observed, "raw_product_id", "left").withColumn("raw_amount", F.col("r.raw_amount")).withColumn("raw_currency", F.col("r.raw_currency")).drop("r")
     j = staged(j, "price-sources")
     statements = trusted_statements(mentions(p), j.where("raw_amount is not null and product_id is not null").select("product_id", "price", "raw_amount", "raw_currency").distinct())
-    j = j.join(statements, "product_id", "left")
+    j = j.join(statements.hint("merge"), "product_id", "left")
     known = F.col("raw_amount").isNotNull()
     scale = F.coalesce("text_scale", F.lit(1).cast("decimal(12,4)"))
     column_price = (F.col("price") * scale).cast("decimal(24,6)")
