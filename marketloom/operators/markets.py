@@ -18,6 +18,9 @@ from marketloom.session import staged
 THRESHOLD = 0.72
 # Weights of cosine, shared words and shared niche or type in the similarity.
 COSINE, OVERLAP, SHARED = 0.55, 0.20, 0.25
+DIMENSIONS, OWN = 512, 384  # of the vectors whose products bound similarities; those that one token has alone
+BLOCK = 24_000  # products whose vectors are multiplied with those of as many others at once
+_UNIT = 1 << 21  # parts of 1 in which those vectors are kept
 # Word -> problem, and word -> product type.
 PROBLEMS = {
     "pricing": "pricing", "price": "pricing", "cost": "costing", "costing": "costing", "budget": "budgeting", "budgeting": "budgeting",
@@ -75,52 +78,32 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
     """a, b (a < b), similarity of every pair of products that reaches the threshold (above SHARED + OVERLAP).
 
     similarity = 0.55 cosine of the idf vectors + 0.20 Jaccard of the tokens + 0.25 if niche or product type are shared.
-    Tokens are ordered by rarity. From the rarest token two products share on, what is left of both vectors bounds their
-    cosine and what is left of both token sets bounds their Jaccard at the same time (as does the number of bits in which
-    sketches of the sets differ); a token is in a product's prefix if
-    the two bounds together could still reach the threshold with the best possible partner (equal from there on), and a
-    pair is a candidate if they can for these two. Where neither product could reach it with one whose rest is as small a
+    Pairs of one niche or type are tested all, by `_alike`, as matrix products that bound cosine and Jaccard together.
+
+    Other pairs have to reach the threshold by their tokens alone and meet at one, in the order of rarity. From the rarest token two
+    products share on, what is left of both vectors bounds their cosine and what is left of both token sets bounds their Jaccard at the same time (as
+    does the number of bits in which sketches of the sets differ); a token is in a product's prefix if the two bounds
+    together could still reach the threshold with the best possible partner (equal from there on), and a pair is a
+    candidate if they can for these two. Where neither product could reach it with one whose rest is as small a
     part as its own, the pair can't: so at least one is in its `near` prefix, and common tokens, which few have there,
-    aren't joined with themselves. Pairs meet at a prefix token within the niche, within the type, or,
-    where neither is shared, anywhere under the stricter threshold; each is verified exactly, once.
+    aren't joined with themselves. Each candidate is verified exactly, once.
     """
     if threshold <= SHARED + OVERLAP:
         raise ValueError(f"the threshold must be above {SHARED + OVERLAP}")
     tokens = staged(with_tokens(products).withColumns(dict(zip(_SKETCH, _parity(F.col("tokens"))))), "market-tokens")
-    weighed = _weighed(tokens, document_frequencies(tokens)).withColumn("w2", F.col("idf") * F.col("idf"))
-    whole, order = W.partitionBy("id"), W.partitionBy("id").orderBy("df", "token")
-    ranked = weighed.withColumn("norm2", F.sum("w2").over(whole)).withColumn("size", F.count("*").over(whole))
-    ranked = ranked.withColumn("rest2", F.col("norm2") - F.sum("w2").over(order) + F.col("w2")).withColumn("rest", F.col("size") - F.row_number().over(order) + 1)
-    ranked = staged(ranked.select("id", "niche_key", "type_key", "token", "df", "w2", "norm2", "rest2", "size", "rest", *_SKETCH), "market-vectors")
-    small = staged(ranked.groupBy("id").agg(F.collect_list(_code("w2", "token")).alias("v")), "market-codes")
-
-    def candidates(needed: float, key: str | None) -> DataFrame:
-        """Pairs that may reach `needed` by cosine and Jaccard alone."""
-        own = COSINE * F.sqrt(F.col("rest2") / F.col("norm2")) + OVERLAP * F.col("rest") / F.col("size")
-        prefix = ranked.where((F.col("df") > 1) & (own >= needed - 1e-9))
-        if key:
-            prefix = prefix.where(F.col(key).isNotNull())
-        on = ["token", key] if key else ["token"]
-        prefix = prefix.join(small, "id").withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
-        side = lambda n: prefix.select(*on, F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "v", *_SKETCH)), *([F.col("niche_key").alias(f"niche_{n}")] if key == "type_key" else []))
-        differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
-        common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
-        dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
-        cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
-        met = side("a").where("near_a").join(side("b"), on).where("a <> b and (a < b or not near_b)").where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
-        if key == "type_key":
-            met = met.where("not coalesce(niche_a = niche_b, false)")
-        return met.where(_roughly() >= needed - 1e-9).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    found = candidates(threshold - SHARED, "niche_key").unionByName(candidates(threshold - SHARED, "type_key"))
+    weighed = _weighed(tokens, _dimensions(staged(document_frequencies(tokens), "market-idf"))).withColumn("w2", F.col("idf") * F.col("idf"))
+    own = [F.first(c).alias(c) for c in ("niche_key", "type_key", *_SKETCH)]
+    listed = F.sort_array(F.collect_list(F.struct("df", "token", "w2", "dimension"))).alias("t")
+    vectors = staged(weighed.groupBy("id").agg(*own, F.sum("w2").alias("norm2"), listed).withColumn("size", F.size("t")), "market-vectors")
+
+    found = _alike(vectors, threshold - SHARED)
     if threshold <= COSINE + OVERLAP:
-        found = found.unionByName(candidates(threshold, None))
+        found = found.unionByName(_alike_anywhere(vectors, threshold))
     pairs = staged(found.distinct(), "market-pairs")
     once = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    vectors = ranked.join(once, "id", "left_semi").groupBy("id").agg(
-        F.first("niche_key").alias("niche_key"), F.first("type_key").alias("type_key"), F.first("norm2").alias("norm2"), F.map_from_entries(F.collect_list(F.struct("token", "w2"))).alias("v")
-    )
-    x, y = vectors.alias("x"), vectors.alias("y")
+    entries = F.transform("t", lambda e: F.struct(e["token"], e["w2"]))
+    verified = vectors.join(once, "id", "left_semi").select("id", "niche_key", "type_key", "norm2", F.map_from_entries(entries).alias("v"))
+    x, y = verified.alias("x"), verified.alias("y")
     pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
     common = F.array_intersect(F.map_keys("x.v"), F.map_keys("y.v"))
     dot = F.aggregate(common, F.lit(0.0), lambda acc, t: acc + F.try_element_at(F.col("x.v"), t))
@@ -130,14 +113,94 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
     return pairs.select("a", "b", F.least(F.lit(1.0), score).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def _dimensions(idf: DataFrame) -> DataFrame:
+    """Adds dimension: one of its own for each of the most frequent tokens, the others share the rest of DIMENSIONS by hash."""
+    first = idf.orderBy(F.col("df").desc(), "token").limit(OWN)
+    first = first.select("token", (F.row_number().over(W.orderBy(F.col("df").desc(), "token")) - 1).alias("own"))
+    return idf.join(first, "token", "left").withColumn("dimension", F.coalesce("own", OWN + F.pmod(F.xxhash64("token"), F.lit(DIMENSIONS - OWN)).cast("int"))).drop("own")
+
+
+def _alike(vectors: DataFrame, needed: float, block: int = BLOCK) -> DataFrame:
+    """a, b: all pairs of one niche or type whose cosine and Jaccard parts may reach `needed`.
+
+    A token counts x = sqrt(0.55 w2 / norm2 + 0.20 / size). As (p + q)(r + s) >= (sqrt(pr) + sqrt(qs))^2, and a Jaccard similarity
+    is at most the common tokens over the root of both sizes, the product of two such vectors is never less than the
+    two parts; nor is it if tokens share a dimension as the root of their squares' sum. Dense vectors of
+    DIMENSIONS are multiplied in blocks of about `block` products: each pair of blocks of a niche or type is one group of rows,
+    so one of any size is spread over tasks. What passes is verified exactly by the caller.
+    """
+    x2 = lambda e: COSINE * e["w2"] / F.col("norm2") + OVERLAP / F.col("size")
+    coded = F.transform("t", lambda e: F.ceil(x2(e) * _UNIT).cast("int") * DIMENSIONS + e["dimension"])  # rounded up
+    packed = vectors.select("id", "niche_key", "type_key", coded.alias("x"))
+    keyed = packed.select("id", "x", F.explode(F.array(F.concat(F.lit("n"), "niche_key"), F.concat(F.lit("t"), "type_key"))).alias("key")).where("key is not null")
+    count = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    placed = keyed.join(count, "key").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = placed.select("key", F.col("at").alias("i"), F.explode(F.sequence("at", F.col("blocks") - 1)).alias("j"), "id", "x")
+    right = placed.where("at > 0").select(F.col("key").alias("key"), F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.col("at").alias("j"), F.col("id").alias("id"), F.col("x").alias("x"))
+    spark = vectors.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)  # named, as their work isn't told by their bytes
+    side = lambda rows: rows.repartition(tasks, "key", "i", "j").groupBy("key", "i", "j")
+    least = needed - 1e-4  # more than the error of a product of single precision
+
+    def meet(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
+        same = key[1].as_py() == key[2].as_py()
+        return _met(one, one if same else other, same, least)
+
+    return side(left).cogroup(side(right)).applyInArrow(meet, "a long, b long")
+
+
+def _met(one: pa.Table, other: pa.Table, same: bool, least: float, tile: int = 2048) -> pa.Table:
+    def dense(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        lists = rows.column("x").combine_chunks()
+        values = lists.flatten().to_numpy()
+        at = np.repeat(np.arange(rows.num_rows) * DIMENSIONS, lists.value_lengths().to_numpy()) + values % DIMENSIONS
+        m = np.bincount(at, values // DIMENSIONS / _UNIT, rows.num_rows * DIMENSIONS).reshape(-1, DIMENSIONS)
+        return rows.column("id").to_numpy(), np.sqrt(m, dtype=np.float32, casting="same_kind")
+
+    ids, x = dense(one)
+    others, y = (ids, x) if same else dense(other)
+    found = [np.zeros((2, 0), np.int64)]
+    for r in range(0, len(x), tile):
+        for c in range(r if same else 0, len(y), tile):
+            product = x[r : r + tile] @ y[c : c + tile].T
+            hit = np.flatnonzero(product >= least)
+            a, b = ids[r + hit // product.shape[1]], others[c + hit % product.shape[1]]
+            if same and r == c:  # each pair stands there twice
+                a, b = a[a < b], b[a < b]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+    pairs = np.concatenate(found, axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
+def _alike_anywhere(vectors: DataFrame, needed: float) -> DataFrame:
+    """a, b: pairs that may reach `needed` by cosine and Jaccard alone."""
+    first = F.slice("t", 1, F.floor(F.col("size") * F.lit((COSINE + OVERLAP - needed) / OVERLAP) + 1e-9).cast("int") + 1)  # later tokens leave too few for Jaccard
+    before = F.aggregate(F.slice("t", 1, F.col("at")), F.lit(0.0), lambda acc, e: acc + e["w2"])
+    codes = F.transform("t", lambda e: _code(e["w2"], e["token"])).alias("v")
+    rows = vectors.select("id", "norm2", "size", "t", codes, *_SKETCH, F.posexplode(first).alias("at", "e")).select(
+        "id", "norm2", "size", "v", *_SKETCH, "e.df", "e.token", "e.w2", (F.col("norm2") - before).alias("rest2"), (F.col("size") - F.col("at")).alias("rest")
+    )
+    own = COSINE * F.sqrt(F.col("rest2") / F.col("norm2")) + OVERLAP * F.col("rest") / F.col("size")
+    prefix = rows.where((F.col("df") > 1) & (own >= needed - 1e-9))
+    prefix = prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
+    side = lambda n: prefix.select("token", F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "v", *_SKETCH)))
+    differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
+    common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
+    dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
+    cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
+    met = side("a").where("near_a").join(side("b"), "token").where("a <> b and (a < b or not near_b)")
+    met = met.where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
+    return met.where(_roughly() >= needed - 1e-9).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _shared(x: str, y: str) -> Column:
     same = lambda n: F.coalesce(F.col(f"{x}.{n}") == F.col(f"{y}.{n}"), F.lit(False))
     return same("niche_key") | same("type_key")
 
 
-def _code(weight: str, token: str) -> Column:
+def _code(weight: Column, token: Column) -> Column:
     """A token and its weight, rounded up to a millionth, as one number."""
-    return F.call_function("shiftleft", F.ceil(F.col(weight) * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64(token).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return F.call_function("shiftleft", F.ceil(weight * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64(token).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def _roughly() -> Column:

@@ -188,10 +188,12 @@ def c_idf(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c_similar(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
     return M.similar_products(table(spark, d, "products")).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 def c_components(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
     p = table(spark, d, "products")
     return connected_components(p.select(F.col("id").alias("node")), staged(M.similar_products(p), "edges"))
 

@@ -1,10 +1,12 @@
 import math
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from marketloom.operators import markets as markets_module
 from marketloom.operators.components import connected_components
-from marketloom.operators.markets import confidences, markets, similar_products, with_terms, with_tokens
+from marketloom.operators.markets import _met, confidences, markets, similar_products, with_terms, with_tokens
 
 SCHEMA = "id bigint, product_name string, niche string, category string, product_type string, keywords array<string>, description string, tokens int, df int"
 
@@ -51,6 +53,27 @@ def test_similarity_against_brute_force(spark):
     assert got == want and len(want) > 50
 
 
+def test_pairs_of_a_type_in_blocks(spark, monkeypatch):
+    """Blocks of few products give the pairs of one block, and matrix products let few pass that don't reach the threshold."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{w}" for w in rng.sample(range(60), 12)), None, None, "tracker", [f"n{rng.randrange(600)}x", f"m{rng.randrange(600)}x"], None) for i in range(600)]
+    rows += [(1000 + r[0], r[1] + " more", *r[2:]) for r in rows[:50]]
+    df = products(spark, rows)
+    passed = []
+    pairs = lambda: {(r.a, r.b, round(r.similarity, 6)) for r in similar_products(df).collect()}
+    whole = pairs()
+    assert {(r[0], 1000 + r[0]) for r in rows[:50]} <= {p[:2] for p in whole}
+    monkeypatch.setattr(markets_module._alike, "__defaults__", (90,))
+    assert pairs() == whole
+    values = [[(1 << 20) * 512 + k] for k in (0, 0, 1, 1)]
+    one = pa.table({"id": pa.array([4, 3, 2, 1], pa.int64()), "x": pa.array(values, pa.list_(pa.int32()))})
+    for tile in (1, 3, 8):
+        got = _met(one, one, True, 0.4, tile).to_pydict()
+        passed.append(sorted(zip(got["a"], got["b"])))
+    assert passed == [[(1, 2), (3, 4)]] * 3
+    assert _met(one.slice(0, 2), one.slice(2, 2), False, 0.4).num_rows == 0 and _met(one.slice(0, 1), one.slice(1, 3), False, 0.4).num_rows == 1
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 90), (90, 80), (5, 5)]
     nodes = spark.range(0, 103).select(F.col("id").alias("node"))
