@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,8 @@ from marketloom.session import staged
 THRESHOLD = 0.72
 # Weights of cosine, shared words and shared niche or type in the similarity.
 COSINE, OVERLAP, SHARED = 0.55, 0.20, 0.25
-DIMENSIONS, OWN = 512, 384  # of the vectors whose products bound similarities; those that one token has alone
+DIMENSIONS, OWN = 256, 128  # of the vectors whose products bound similarities; those that one token has alone
+FOLDED, KEPT = 128, 16  # of the shorter vectors that are multiplied first; those that stay what they are there
 BLOCK = 24_000  # products whose vectors are multiplied with those of as many others at once
 _UNIT = 1 << 21  # parts of 1 in which those vectors are kept
 # Word -> problem, and word -> product type.
@@ -55,23 +56,44 @@ def with_tokens(products: DataFrame) -> DataFrame:
 
 def document_frequencies(tokens: DataFrame) -> DataFrame:
     """token, df, idf over all products: ln((n + 1) / (df + 1)) + 1."""
+    return _counted(tokens)[0]
+
+
+def _counted(tokens: DataFrame) -> tuple[DataFrame, int]:
     n = tokens.count()
-    return tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df")).withColumn("idf", F.log(F.lit(float(max(n, 1)) + 1) / (F.col("df") + 1)) + 1)
+    return tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df")).withColumn("idf", _idf(n, F.col("df"))), n
+
 
+def _idf(n: int, df: Column) -> Column:
+    return F.log(F.lit(float(max(n, 1)) + 1) / (df + 1)) + 1
 
-def _weighed(tokens: DataFrame, idf: DataFrame) -> DataFrame:
-    return tokens.select("id", "niche_key", "type_key", *(c for c in _SKETCH if c in tokens.columns), F.explode("tokens").alias("token")).join(idf, "token")
+
+def _numbered(idf: DataFrame) -> DataFrame:
+    """Adds `code` to token rows: df and, in the low 32 bits, a number of the token's own, which for the most frequent ones is under OWN.
+
+    Codes in ascending order are tokens in order of rarity, and equal if their tokens are.
+    """
+    counted = staged(idf.withColumn("place", F.monotonically_increasing_id()), "market-idf")  # part << 33 | row
+    part, row = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    parts = (counted.agg(F.max(part)).first()[0] or 0) + 1
+    first = counted.orderBy(F.col("df").desc(), "token").limit(OWN)
+    first = first.select("token", (F.row_number().over(W.orderBy(F.col("df").desc(), "token")) - 1).cast("bigint").alias("own"))
+    number = F.coalesce("own", OWN + row * parts + part)
+    return counted.join(F.broadcast(first), "token", "left").select("token", F.shiftleft("df", 32).bitwiseOR(number).alias("code"), (F.col("idf") * F.col("idf")).alias("w2"))
+
+
+def _number(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 _SKETCH = ("bits0", "bits1")
 
 
-def _parity(tokens: Column) -> list[Column]:
-    """128 bits, each telling whether an odd number of tokens falls on it: two sets differ in at least as many tokens as bits."""
-    place = lambda t: F.pmod(F.xxhash64(t), F.lit(128))
-    bit = lambda t, k: F.when(F.floor(place(t) / 64) == k, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place(t), F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("bigint"))
-    half = lambda k: F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseXOR(bit(t, k)))
-    return [half(k).alias(name) for k, name in enumerate(_SKETCH)]
+def _parity() -> list[Column]:
+    """128 bits, each telling whether an odd number of the tokens of a group falls on it: two sets differ in at least as many tokens as bits."""
+    place = F.pmod(F.xxhash64("code"), F.lit(128))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+    return [F.bit_xor(F.when(F.floor(place / 64) == k, bit).otherwise(F.lit(0).cast("bigint"))).alias(name) for k, name in enumerate(_SKETCH)]
 
 
 def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -88,49 +110,50 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
     part as its own, the pair can't: so at least one is in its `near` prefix, and common tokens, which few have there,
     aren't joined with themselves. Each candidate is verified exactly, once.
     """
+    _check(threshold)
+    return _similar(staged(with_tokens(products).select("id", "niche_key", "type_key", "tokens"), "market-tokens"), threshold)
+
+
+def _check(threshold: float) -> None:
     if threshold <= SHARED + OVERLAP:
         raise ValueError(f"the threshold must be above {SHARED + OVERLAP}")
-    tokens = staged(with_tokens(products).withColumns(dict(zip(_SKETCH, _parity(F.col("tokens"))))), "market-tokens")
-    weighed = _weighed(tokens, _dimensions(staged(document_frequencies(tokens), "market-idf"))).withColumn("w2", F.col("idf") * F.col("idf"))
-    own = [F.first(c).alias(c) for c in ("niche_key", "type_key", *_SKETCH)]
-    listed = F.sort_array(F.collect_list(F.struct("df", "token", "w2", "dimension"))).alias("t")
-    vectors = staged(weighed.groupBy("id").agg(*own, F.sum("w2").alias("norm2"), listed).withColumn("size", F.size("t")), "market-vectors")
 
-    found = _alike(vectors, threshold - SHARED)
+
+def _similar(tokens: DataFrame, threshold: float) -> DataFrame:
+    frequencies, n = _counted(tokens)
+    weighed = tokens.select("id", F.explode("tokens").alias("token")).join(_numbered(frequencies), "token")
+    listed = weighed.groupBy("id").agg(F.sum("w2").alias("norm2"), *_parity(), F.sort_array(F.collect_list("code")).alias("t"))
+    vectors = staged(listed.join(tokens.select("id", "niche_key", "type_key"), "id").withColumn("size", F.size("t")), "market-vectors")
+    w2 = lambda code: F.pow(_idf(n, F.shiftright(code, 32)), 2)
+
+    found = _alike(vectors, w2, threshold - SHARED)
     if threshold <= COSINE + OVERLAP:
-        found = found.unionByName(_alike_anywhere(vectors, threshold))
+        found = found.unionByName(_alike_anywhere(vectors, w2, threshold))
     pairs = staged(found.distinct(), "market-pairs")
     once = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    entries = F.transform("t", lambda e: F.struct(e["token"], e["w2"]))
-    verified = vectors.join(once, "id", "left_semi").select("id", "niche_key", "type_key", "norm2", F.map_from_entries(entries).alias("v"))
+    verified = vectors.join(once, "id", "left_semi").select("id", "niche_key", "type_key", "norm2", "t")
     x, y = verified.alias("x"), verified.alias("y")
     pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
-    common = F.array_intersect(F.map_keys("x.v"), F.map_keys("y.v"))
-    dot = F.aggregate(common, F.lit(0.0), lambda acc, t: acc + F.try_element_at(F.col("x.v"), t))
-    cosine = F.least(F.lit(1.0), dot / F.sqrt(F.col("x.norm2") * F.col("y.norm2")))
-    jaccard = F.size(common) / (F.size("x.v") + F.size("y.v") - F.size(common))
-    score = COSINE * cosine + OVERLAP * jaccard + F.when(_shared("x", "y"), SHARED).otherwise(0.0)
+    both = let(F.array_intersect("x.t", "y.t"), lambda c: F.struct(F.aggregate(c, F.lit(0.0), lambda acc, e: acc + w2(e)).alias("dot"), F.size(c).alias("n")))
+    pairs = pairs.select("a", "b", _shared("x", "y").alias("shared"), (F.col("x.norm2") * F.col("y.norm2")).alias("norms"), (F.size("x.t") + F.size("y.t")).alias("sizes"), both.alias("both"))
+    cosine = F.least(F.lit(1.0), F.col("both.dot") / F.sqrt("norms"))
+    jaccard = F.col("both.n") / (F.col("sizes") - F.col("both.n"))
+    score = COSINE * cosine + OVERLAP * jaccard + F.when(F.col("shared"), SHARED).otherwise(0.0)
     return pairs.select("a", "b", F.least(F.lit(1.0), score).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def _dimensions(idf: DataFrame) -> DataFrame:
-    """Adds dimension: one of its own for each of the most frequent tokens, the others share the rest of DIMENSIONS by hash."""
-    first = idf.orderBy(F.col("df").desc(), "token").limit(OWN)
-    first = first.select("token", (F.row_number().over(W.orderBy(F.col("df").desc(), "token")) - 1).alias("own"))
-    return idf.join(first, "token", "left").withColumn("dimension", F.coalesce("own", OWN + F.pmod(F.xxhash64("token"), F.lit(DIMENSIONS - OWN)).cast("int"))).drop("own")
-
-
-def _alike(vectors: DataFrame, needed: float, block: int = BLOCK) -> DataFrame:
+def _alike(vectors: DataFrame, w2: Callable[[Column], Column], needed: float, block: int = BLOCK) -> DataFrame:
     """a, b: all pairs of one niche or type whose cosine and Jaccard parts may reach `needed`.
 
     A token counts x = sqrt(0.55 w2 / norm2 + 0.20 / size). As (p + q)(r + s) >= (sqrt(pr) + sqrt(qs))^2, and a Jaccard similarity
     is at most the common tokens over the root of both sizes, the product of two such vectors is never less than the
     two parts; nor is it if tokens share a dimension as the root of their squares' sum. Dense vectors of
-    DIMENSIONS are multiplied in blocks of about `block` products: each pair of blocks of a niche or type is one group of rows,
+    DIMENSIONS, shorter ones first, are multiplied in blocks of about `block` products: each pair of blocks of a niche or type is one group of rows,
     so one of any size is spread over tasks. What passes is verified exactly by the caller.
     """
-    x2 = lambda e: COSINE * e["w2"] / F.col("norm2") + OVERLAP / F.col("size")
-    coded = F.transform("t", lambda e: F.ceil(x2(e) * _UNIT).cast("int") * DIMENSIONS + e["dimension"])  # rounded up
+    x2 = lambda e: COSINE * w2(e) / F.col("norm2") + OVERLAP / F.col("size")
+    dimension = lambda n: F.when(n < OWN, n).otherwise(OWN + F.pmod(n, F.lit(DIMENSIONS - OWN))).cast("int")
+    coded = F.transform("t", lambda e: F.ceil(x2(e) * _UNIT).cast("int") * DIMENSIONS + dimension(_number(e)))  # rounded up
     packed = vectors.select("id", "niche_key", "type_key", coded.alias("x"))
     keyed = packed.select("id", "x", F.explode(F.array(F.concat(F.lit("n"), "niche_key"), F.concat(F.lit("t"), "type_key"))).alias("key")).where("key is not null")
     count = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
@@ -149,48 +172,59 @@ def _alike(vectors: DataFrame, needed: float, block: int = BLOCK) -> DataFrame:
     return side(left).cogroup(side(right)).applyInArrow(meet, "a long, b long")
 
 
-def _met(one: pa.Table, other: pa.Table, same: bool, least: float, tile: int = 2048) -> pa.Table:
-    def dense(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _met(one: pa.Table, other: pa.Table, same: bool, least: float, tile: int = 512) -> pa.Table:
+    """a, b: pairs of rows whose vectors' product is `least` or more; vectors of FOLDED dimensions, whose product is never less, tell which are multiplied in full."""
+    fold = np.where(np.arange(DIMENSIONS) < KEPT, np.arange(DIMENSIONS), KEPT + np.arange(DIMENSIONS) % (FOLDED - KEPT))
+
+    def dense(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lists = rows.column("x").combine_chunks()
         values = lists.flatten().to_numpy()
-        at = np.repeat(np.arange(rows.num_rows) * DIMENSIONS, lists.value_lengths().to_numpy()) + values % DIMENSIONS
-        m = np.bincount(at, values // DIMENSIONS / _UNIT, rows.num_rows * DIMENSIONS).reshape(-1, DIMENSIONS)
-        return rows.column("id").to_numpy(), np.sqrt(m, dtype=np.float32, casting="same_kind")
+        row, at = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy()), values % DIMENSIONS
+        root = lambda at, d: np.sqrt(np.bincount(row * d + at, values // DIMENSIONS / _UNIT, rows.num_rows * d).reshape(-1, d), dtype=np.float32, casting="same_kind")
+        return rows.column("id").to_numpy(), root(at, DIMENSIONS), root(fold[at], FOLDED)
 
-    ids, x = dense(one)
-    others, y = (ids, x) if same else dense(other)
+    ids, x, short_x = dense(one)
+    others, y, short_y = (ids, x, short_x) if same else dense(other)
     found = [np.zeros((2, 0), np.int64)]
     for r in range(0, len(x), tile):
         for c in range(r if same else 0, len(y), tile):
-            product = x[r : r + tile] @ y[c : c + tile].T
+            product = short_x[r : r + tile] @ short_y[c : c + tile].T
             hit = np.flatnonzero(product >= least)
-            a, b = ids[r + hit // product.shape[1]], others[c + hit % product.shape[1]]
+            i, j = r + hit // product.shape[1], c + hit % product.shape[1]
             if same and r == c:  # each pair stands there twice
-                a, b = a[a < b], b[a < b]
+                i, j = i[i < j], j[i < j]
+            if 16 * len(i) > product.size:
+                full = (x[r : r + tile] @ y[c : c + tile].T)[i - r, j - c]
+            else:
+                full = np.einsum("kd,kd->k", x[i], y[j])
+            i, j = i[full >= least], j[full >= least]
+            a, b = ids[i], others[j]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
     pairs = np.concatenate(found, axis=1)
     return pa.table({"a": pairs[0], "b": pairs[1]})
 
 
-def _alike_anywhere(vectors: DataFrame, needed: float) -> DataFrame:
+def _alike_anywhere(vectors: DataFrame, w2: Callable[[Column], Column], needed: float) -> DataFrame:
     """a, b: pairs that may reach `needed` by cosine and Jaccard alone."""
     first = F.slice("t", 1, F.floor(F.col("size") * F.lit((COSINE + OVERLAP - needed) / OVERLAP) + 1e-9).cast("int") + 1)  # later tokens leave too few for Jaccard
-    before = F.aggregate(F.slice("t", 1, F.col("at")), F.lit(0.0), lambda acc, e: acc + e["w2"])
-    codes = F.transform("t", lambda e: _code(e["w2"], e["token"])).alias("v")
-    rows = vectors.select("id", "norm2", "size", "t", codes, *_SKETCH, F.posexplode(first).alias("at", "e")).select(
-        "id", "norm2", "size", "v", *_SKETCH, "e.df", "e.token", "e.w2", (F.col("norm2") - before).alias("rest2"), (F.col("size") - F.col("at")).alias("rest")
+    before = F.aggregate(F.slice("t", 1, F.col("at")), F.lit(0.0), lambda acc, e: acc + w2(e))
+    rows = vectors.select("id", "norm2", "size", "t", *_SKETCH, F.posexplode(first).alias("at", "code")).select(
+        "id", "norm2", "size", "t", *_SKETCH, "code", w2(F.col("code")).alias("w2"), (F.col("norm2") - before).alias("rest2"), (F.col("size") - F.col("at")).alias("rest")
     )
     own = COSINE * F.sqrt(F.col("rest2") / F.col("norm2")) + OVERLAP * F.col("rest") / F.col("size")
-    prefix = rows.where((F.col("df") > 1) & (own >= needed - 1e-9))
+    prefix = rows.where((F.shiftright("code", 32) > 1) & (own >= needed - 1e-9))
     prefix = prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
-    side = lambda n: prefix.select("token", F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "v", *_SKETCH)))
+    side = lambda n: prefix.select("code", F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "t", *_SKETCH)))
     differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
     common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
     dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
     cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
-    met = side("a").where("near_a").join(side("b"), "token").where("a <> b and (a < b or not near_b)")
+    met = side("a").where("near_a").join(side("b"), "code").where("a <> b and (a < b or not near_b)")
     met = met.where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
-    return met.where(_roughly() >= needed - 1e-9).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    both = let(F.array_intersect("t_a", "t_b"), lambda c: F.struct(F.aggregate(c, F.lit(0.0), lambda acc, e: acc + w2(e)).alias("dot"), F.size(c).alias("n")))
+    score = lambda x: COSINE * x["dot"] / F.sqrt(F.col("norm2_a") * F.col("norm2_b")) + OVERLAP * x["n"] / (F.col("size_a") + F.col("size_b") - x["n"])
+    met = met.where(let(both, score) >= needed - 1e-9)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _shared(x: str, y: str) -> Column:
@@ -198,22 +232,6 @@ def _shared(x: str, y: str) -> Column:
     return same("niche_key") | same("type_key")
 
 
-def _code(weight: Column, token: Column) -> Column:
-    """A token and its weight, rounded up to a millionth, as one number."""
-    return F.call_function("shiftleft", F.ceil(weight * 1e6).cast("bigint"), F.lit(32)).bitwiseOR(F.xxhash64(token).bitwiseAND(F.lit(0xFFFFFFFF)))
-
-
-def _roughly() -> Column:
-    """Cosine and Jaccard part of the similarity of two rows with codes `v_a` and `v_b`, never less than it is.
-
-    A clash of two tokens' hashes and the rounding of weights can only raise it, so as a test it loses no pair; what
-    passes is verified exactly.
-    """
-    both = let(F.array_intersect("v_a", "v_b"), lambda c: F.struct(F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, t: acc + F.shiftright(t, 32)).alias("dot"), F.size(c).alias("n")))
-    score = lambda x: COSINE * x["dot"] / 1e6 / F.sqrt(F.col("norm2_a") * F.col("norm2_b")) + OVERLAP * x["n"] / (F.col("size_a") + F.col("size_b") - x["n"])
-    return let(both, score)
-
-
 def _longest_first(values: Column) -> Column:
     return F.transform(F.array_sort(F.transform(F.array_distinct(values), lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v")))), lambda s: s["v"])
 
@@ -368,8 +386,9 @@ def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int
 
     Every member's `membership_score` is the confidence of its cluster.
     """
+    _check(threshold)
     tokens = staged(with_terms(with_tokens(products), niches), "market-terms")
-    edges = staged(similar_products(products, threshold), "market-edges")
+    edges = staged(_similar(tokens.select("id", "niche_key", "type_key", "tokens"), threshold), "market-edges")
     parts = connected_components(tokens.select(F.col("id").alias("node")), edges)
     members = staged(tokens.join(parts, tokens.id == parts.node).drop("node"), "market-members")
     described = describe_markets(members)

@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from marketloom.operators import markets as markets_module
+from marketloom.operators import components as components_module
 from marketloom.operators.components import connected_components
 from marketloom.operators.markets import _met, confidences, markets, similar_products, with_terms, with_tokens
 
@@ -83,6 +84,23 @@ def test_components(spark):
     assert connected_components(nodes.limit(0), edges.limit(0)).count() == 0
 
 
+def test_few_links_are_finished_at_once(spark, monkeypatch):
+    """One table of links is written and no round follows; what rounds leave is the same as what one task finds."""
+    rng = random.Random(9)
+    links = [(rng.randrange(900), rng.randrange(900)) for _ in range(700)] + [(2000 - i, 1999 - i) for i in range(200)]
+    low = {n: n for n in range(2001)}
+    find = lambda n: n if low[n] == n else find(low[n])
+    for a, b in links:
+        a, b = find(a), find(b)
+        low[max(a, b)] = min(a, b)
+    written, write = [], components_module.staged
+    monkeypatch.setattr(components_module, "staged", lambda df, name: written.append(name) or write(df, name))
+    nodes, edges = spark.range(2001).withColumnRenamed("id", "node"), spark.createDataFrame(links, "a bigint, b bigint")
+    found = lambda *most: {r.node: r.component for r in connected_components(nodes, edges, *most).collect()}
+    assert found() == {n: find(n) for n in low} and written == ["components"]
+    assert found(0) == found(600) == found() and len(written) > 5
+
+
 def test_terms_and_markets(spark):
     rows = [
         (1, "Bakery Pricing Calculator", "bakery", None, "calculator", ["pricing"], "Price every cake"),
