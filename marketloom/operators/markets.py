@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ COSINE, OVERLAP, SHARED = 0.55, 0.20, 0.25
 DIMENSIONS, OWN = 256, 128  # of the vectors whose products bound similarities; those that one token has alone
 FOLDED, KEPT = 128, 16  # of the shorter vectors that are multiplied first; those that stay what they are there
 BLOCK = 24_000  # products whose vectors are multiplied with those of as many others at once
+SMALL = 128  # members of a component that are compared in one row
 _UNIT = 1 << 21  # parts of 1 in which those vectors are kept
 # Word -> problem, and word -> product type.
 PROBLEMS = {
@@ -318,10 +320,11 @@ def describe_markets(members: DataFrame) -> DataFrame:
     )
 
 
-def confidences(members: DataFrame, block: int = 512) -> DataFrame:
+def confidences(members: DataFrame, block: int = 512, small: int = SMALL) -> DataFrame:
     """component, confidence: the mean similarity of all pairs of members, idf taken from the component alone; 1 for a single member.
 
-    `members` has component, id, tokens, niche_key and type_key. No pair of members is made: the cosines of all pairs add
+    `members` has component, id, tokens, niche_key and type_key. A component of up to `small` members is one row, whose pairs are compared by a
+    matrix product. Of larger ones no pair of members is made: the cosines of all pairs add
     up to half of what the squared sum of the unit vectors exceeds their squares by, which is a sum over tokens; pairs that share niche or
     type are counted from group sizes. Only the Jaccard part needs pairs; there equal token sets count once with
     their multiplicity, and the different ones are compared in blocks of `block` sets by matrix products, each pair of
@@ -330,6 +333,37 @@ def confidences(members: DataFrame, block: int = 512) -> DataFrame:
     n = members.groupBy("component").agg(F.count("*").alias("n"))
     told = members.where(F.size("tokens") > 0).join(n.where("n > 1"), "component").select("component", "id", "n", "tokens", F.lower("niche_key").alias("niche_key"), F.nullif("type_key", F.lit("")).alias("type_key"))
     told = staged(told, "market-told")
+    few = told.where(F.col("n") <= small).groupBy("component").agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "niche_key", "type_key")).alias("rows"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            totals = [_similarities_of(*row) for row in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.float64())], names=["component", "total"])
+
+    totals = few.mapInArrow(add, "component long, total double").unionByName(_similarity_sums(told.where(F.col("n") > small), block))
+    mean = F.coalesce("total", F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)
+    return n.join(totals, "component", "left").select("component", F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)), 4)).alias("confidence"))
+
+
+def _similarities_of(n: int, rows: list[dict]) -> float:
+    """The sum of the similarities of all pairs of `rows`, which are those of `n` members that have tokens."""
+    numbers: dict[str, int] = {}
+    at = [[numbers.setdefault(t, len(numbers)) for t in x["tokens"]] for x in rows]
+    m = np.zeros((len(rows), len(numbers)))
+    for r, columns in enumerate(at):
+        m[r, columns] = 1
+    size, weighed = m.sum(1), m * (np.log((n + 1) / (m.sum(0) + 1)) + 1)
+    summed = (weighed / np.sqrt((weighed * weighed).sum(1))[:, None]).sum(0)
+    common = m @ m.T
+    jaccard = (common / (size[:, None] + size[None, :] - common)).sum()
+    niches, types = [x["niche_key"] for x in rows], [x["type_key"] for x in rows]
+    pairs = lambda keys: sum(c * (c - 1) // 2 for c in Counter(keys).values())
+    shared = pairs(k for k in niches if k is not None) + pairs(k for k in types if k is not None) - pairs(k for k in zip(niches, types) if None not in k)
+    return float(COSINE * (summed @ summed - len(rows)) / 2 + OVERLAP * (jaccard - len(rows)) / 2 + SHARED * shared)
+
+
+def _similarity_sums(told: DataFrame, block: int) -> DataFrame:
+    """component, total: the sum of the similarities of all pairs of members with tokens."""
     rows = told.select("component", "id", "n", F.explode("tokens").alias("token"))
     idf = rows.groupBy("component", "token").agg((F.log((F.first("n") + 1.0) / (F.count("*") + 1)) + 1).alias("idf"))
     weighed = rows.join(idf, ["component", "token"])
@@ -339,10 +373,8 @@ def confidences(members: DataFrame, block: int = 512) -> DataFrame:
     sharing = lambda *keys: told.dropna(subset=list(keys)).groupBy("component", *keys).agg(F.count("*").alias("c")).select("component", (pairs * (-1 if len(keys) > 1 else 1)).alias("p"))
     shared = sharing("niche_key").unionByName(sharing("type_key")).unionByName(sharing("niche_key", "type_key")).groupBy("component").agg(F.sum("p").alias("shared"))
     size = told.groupBy("component").agg(F.count("*").alias("m"))
-    out = n.join(size, "component", "left").join(summed, "component", "left").join(shared, "component", "left").join(_jaccard_sums(told, block), "component", "left")
-    total = COSINE * (F.col("squares") - F.col("m")) / 2 + OVERLAP * F.col("jaccard") + SHARED * F.coalesce("shared", F.lit(0.0))
-    mean = F.coalesce(total, F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)
-    return out.select("component", F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)), 4)).alias("confidence"))
+    out = size.join(summed, "component", "left").join(shared, "component", "left").join(_jaccard_sums(told, block), "component", "left")
+    return out.select("component", (COSINE * (F.col("squares") - F.col("m")) / 2 + OVERLAP * F.col("jaccard") + SHARED * F.coalesce("shared", F.lit(0.0))).alias("total"))
 
 
 def _jaccard_sums(told: DataFrame, block: int) -> DataFrame:
@@ -391,8 +423,8 @@ def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int
     edges = staged(_similar(tokens.select("id", "niche_key", "type_key", "tokens"), threshold), "market-edges")
     parts = connected_components(tokens.select(F.col("id").alias("node")), edges)
     members = staged(tokens.join(parts, tokens.id == parts.node).drop("node"), "market-members")
-    described = describe_markets(members)
-    kept = described.where((F.col("product_count") >= minimum_size) | (F.col("product_count") == 1))
+    enough = (F.col("product_count") >= minimum_size) | (F.col("product_count") == 1)
+    kept = describe_markets(members).where(enough)
     sure = staged(confidences(members), "market-confidences")
-    memberships = members.select("component", F.col("id").alias("product_id")).join(kept.select("component"), "component", "left_semi").join(sure.withColumnRenamed("confidence", "membership_score"), "component")
+    memberships = members.select("component", F.col("id").alias("product_id")).join(members.groupBy("component").agg(F.count("*").alias("product_count")).where(enough), "component", "left_semi").join(sure.withColumnRenamed("confidence", "membership_score"), "component")
     return kept.join(sure, "component"), memberships

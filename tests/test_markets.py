@@ -148,6 +148,19 @@ def test_confidence_against_brute_force(spark):
     assert confidences(members.limit(0)).count() == 0
 
 
+def test_confidence_of_small_and_large_components(spark, monkeypatch):
+    """A component that is one row gives what sums over tokens and blocks give, and leaves no sets to be met in blocks."""
+    members = with_tokens(products(spark, invented(120))).withColumn("component", F.when(F.col("id") > 110, F.lit(9)).when(F.col("id") > 60, F.col("id") % 9 * 10).otherwise(F.lit(1)))
+    told = lambda *a: {r.component: r.confidence for r in confidences(members, 16, *a).collect()}
+    sums, blocks = told(0), []
+    write = markets_module.staged
+    monkeypatch.setattr(markets_module, "staged", lambda df, name: (out := write(df, name), name == "market-blocks" and blocks.append(out.count()))[0])
+    for small in (30, 128):
+        got = told(small)
+        assert set(got) == set(sums) and all(abs(got[c] - sums[c]) < 2e-4 for c in sums) and len(got) > 9
+    assert blocks[0] > 0 and blocks[1] == 0
+
+
 def test_niches_come_from_the_taxonomy_given(spark):
     df = products(spark, [(1, "Reef tank dosing planner", None, None, None, ["coral"], None)])
     assert with_terms(with_tokens(df), ("coral", "reef")).first().niche_terms == ["coral", "reef"]
