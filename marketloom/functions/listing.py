@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -171,7 +174,40 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda t: t != ""), singular)
 
 
-def clustering_tokens(name: Column, niche: Column, category: Column, product_type: Column, keywords: Column, description: Column) -> Column:
-    """The distinct tokens of a product in order of first appearance, without promotional and noise words."""
-    parts = F.concat_ws(" ", name, niche, category, product_type, keywords, description)
-    return F.array_distinct(F.filter(words(parts), lambda t: ~t.isin(*PROMOTIONAL, *NOISE)))
+def clustering_text(name: Column, niche: Column, category: Column, product_type: Column, keywords: Column, description: Column) -> Column:
+    """What the tokens of a product are read from, in lower case."""
+    return F.lower(F.concat_ws(" ", name, niche, category, product_type, keywords, description))
+
+
+class _Known(dict):
+    """Word -> its token, None for promotional and noise words; what has been met is kept, up to a number of words."""
+
+    def __missing__(self, word: bytes) -> str | None:
+        t = word.decode()
+        if t.endswith("ies") and len(t) > 4:
+            t = t[:-3] + "y"
+        elif t.endswith("sses") and len(t) > 5:
+            t = t[:-2]
+        elif t.endswith("s") and not t.endswith("ss") and len(t) > 3:
+            t = t[:-1]
+        t = None if t in _SILENT else t
+        if len(self) < 200_000 and len(word) < 50:
+            self[word] = t
+        return t
+
+
+_SILENT = frozenset((*PROMOTIONAL, *NOISE))
+
+
+def token_lists(texts: pa.Array) -> pa.Array:
+    """The distinct tokens of each lower-case text in order of first appearance: `words` without promotional and noise words. Several times faster than as an expression."""
+    known, values, ends = _Known(), [], [0]
+    for text in texts.cast(pa.binary()).to_pylist():
+        tokens = dict.fromkeys(map(known.__getitem__, _RUNS(text or b"")))
+        tokens.pop(None, None)
+        values.extend(tokens)
+        ends.append(len(values))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.string()))
+
+
+_RUNS = re.compile(rb"[a-z0-9]+").findall

@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketloom.functions.listing import clustering_tokens, slug
+from marketloom.functions.listing import clustering_text, slug, token_lists
 from marketloom.functions.units import let
 from marketloom.operators.components import connected_components
 from marketloom.session import staged
@@ -22,6 +23,7 @@ COSINE, OVERLAP, SHARED = 0.55, 0.20, 0.25
 DIMENSIONS, OWN = 256, 128  # of the vectors whose products bound similarities; those that one token has alone
 FOLDED, KEPT = 128, 16  # of the shorter vectors that are multiplied first; those that stay what they are there
 BLOCK = 24_000  # products whose vectors are multiplied with those of as many others at once
+COMMON = 20_000  # most frequent tokens whose codes go to the tasks
 SMALL = 128  # members of a component that are compared in one row
 _UNIT = 1 << 21  # parts of 1 in which those vectors are kept
 # Word -> problem, and word -> product type.
@@ -44,17 +46,23 @@ _ENDS = ("pricing", "costing", "budget", "roi", "fee", "tracker", "sheet", "calc
 
 
 def with_tokens(products: DataFrame) -> DataFrame:
-    """id, niche_key, type_key, tokens."""
+    """id, product_name, niche, niche_key, type_key, tokens."""
     c = F.col
-    return products.where("id is not null").select(
+    read = products.where("id is not null").select(
         c("id").cast("long"),
         "product_name",
         "niche",
         F.nullif(F.lower("niche"), F.lit("")).alias("niche_key"),
         c("product_type").alias("type_key"),
-        clustering_tokens(c("product_name"), c("niche"), c("category"), c("product_type"), c("keywords"), c("description")).alias("tokens"),
+        clustering_text(c("product_name"), c("niche"), c("category"), c("product_type"), c("keywords"), c("description")).alias("text"),
     )
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], token_lists(batch.columns[-1])], names=[*batch.schema.names[:-1], "tokens"])
+
+    return read.mapInArrow(cut, "id long, product_name string, niche string, niche_key string, type_key string, tokens array<string>")
+
 
 def document_frequencies(tokens: DataFrame) -> DataFrame:
     """token, df, idf over all products: ln((n + 1) / (df + 1)) + 1."""
@@ -91,13 +99,6 @@ def _number(code: Column) -> Column:
 _SKETCH = ("bits0", "bits1")
 
 
-def _parity() -> list[Column]:
-    """128 bits, each telling whether an odd number of the tokens of a group falls on it: two sets differ in at least as many tokens as bits."""
-    place = F.pmod(F.xxhash64("code"), F.lit(128))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
-    return [F.bit_xor(F.when(F.floor(place / 64) == k, bit).otherwise(F.lit(0).cast("bigint"))).alias(name) for k, name in enumerate(_SKETCH)]
-
-
 def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b (a < b), similarity of every pair of products that reaches the threshold (above SHARED + OVERLAP).
 
@@ -113,7 +114,11 @@ def similar_products(products: DataFrame, threshold: float = THRESHOLD) -> DataF
     aren't joined with themselves. Each candidate is verified exactly, once.
     """
     _check(threshold)
-    return _similar(staged(with_tokens(products).select("id", "niche_key", "type_key", "tokens"), "market-tokens"), threshold)
+    return _similar(*_vectors(_tokens(products)), threshold)
+
+
+def _tokens(products: DataFrame) -> DataFrame:
+    return staged(with_tokens(products).select("id", "niche_key", "type_key", "tokens"), "market-tokens")
 
 
 def _check(threshold: float) -> None:
@@ -121,57 +126,145 @@ def _check(threshold: float) -> None:
         raise ValueError(f"the threshold must be above {SHARED + OVERLAP}")
 
 
-def _similar(tokens: DataFrame, threshold: float) -> DataFrame:
+def _vectors(tokens: DataFrame) -> tuple[DataFrame, int]:
+    """id, niche_key, type_key, t (codes of the tokens), size, norm2, sketch of every product with tokens, and the number of products.
+
+    The codes of the COMMON most frequent tokens go to the tasks, so that only the others, of which products have few, are joined.
+    """
     frequencies, n = _counted(tokens)
-    weighed = tokens.select("id", F.explode("tokens").alias("token")).join(_numbered(frequencies), "token")
-    listed = weighed.groupBy("id").agg(F.sum("w2").alias("norm2"), *_parity(), F.sort_array(F.collect_list("code")).alias("t"))
-    vectors = staged(listed.join(tokens.select("id", "niche_key", "type_key"), "id").withColumn("size", F.size("t")), "market-vectors")
-    w2 = lambda code: F.pow(_idf(n, F.shiftright(code, 32)), 2)
+    numbered = _numbered(frequencies)
+    common = numbered.orderBy(F.col("code").desc()).where("length(token) < 50").limit(COMMON).toPandas()
+    names, codes = pa.array(common["token"], pa.string()), common["code"].to_numpy(np.int64)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            flat, row = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            at = pc.index_in(flat, value_set=names).fill_null(-1).to_numpy()
+            parts = [pa.ListArray.from_arrays(_ends(row[kept], len(lists)), values) for kept, values in ((at >= 0, pa.array(codes[at[at >= 0]])), (at < 0, flat.filter(pa.array(at < 0))))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *parts], names=["id", "niche_key", "type_key", "t", "others"])
+
+    told = tokens.where(F.size("tokens") > 0).select("id", "niche_key", "type_key", "tokens")
+    coded = staged(told.mapInArrow(split, "id long, niche_key string, type_key string, t array<long>, others array<string>"), "market-codes")
+    others = coded.select("id", F.explode("others").alias("token")).join(numbered, "token").groupBy("id").agg(F.collect_list("code").alias("more"))
+    whole = coded.drop("others").join(others, "id", "left").select("id", "niche_key", "type_key", F.sort_array(F.when(F.col("more").isNull(), F.col("t")).otherwise(F.concat("t", "more"))).alias("t"))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                flat, w2, row, size = _unpacked(batch, n)
+                first = np.cumsum(size) - size
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size.astype(np.int32)), pa.array(np.add.reduceat(w2, first)), *map(pa.array, _parity(flat, first))], names=[*batch.schema.names, "size", "norm2", *_SKETCH])
+
+    return staged(whole.mapInArrow(measure, "id long, niche_key string, type_key string, t array<long>, size int, norm2 double, bits0 long, bits1 long"), "market-vectors"), n
+
+
+def _ends(row: np.ndarray, rows: int) -> pa.Array:
+    """Offsets of the lists of `rows` rows whose values stand in the given rows."""
+    return pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))]).astype(np.int32))
+
 
-    found = _alike(vectors, w2, threshold - SHARED)
-    if threshold <= COSINE + OVERLAP:
-        found = found.unionByName(_alike_anywhere(vectors, w2, threshold))
-    pairs = staged(found.distinct(), "market-pairs")
+def _parity(codes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """128 bits, each telling whether an odd number of the tokens from each `first` on falls on it: two sets differ in at least as many tokens as bits."""
+    place = ((codes & 0xFFFFFFFF).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    return [np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == k, bit, np.uint64(0)), first).view(np.int64) for k in (0, 1)]
+
+
+def _similar(vectors: DataFrame, n: int, threshold: float) -> DataFrame:
+    found = _alike(vectors, n, threshold - SHARED).groupBy("a", "b").agg(F.max("part").alias("part")).select("a", "b", F.least(F.lit(1.0), F.col("part") + SHARED).alias("similarity"))
+    if threshold > COSINE + OVERLAP:
+        return found.where(F.col("similarity") >= threshold)
+    w2 = lambda code: F.pow(_idf(n, F.shiftright(code, 32)), 2)
+    pairs = staged(_alike_anywhere(vectors, w2, threshold).distinct(), "market-pairs")
     once = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    verified = vectors.join(once, "id", "left_semi").select("id", "niche_key", "type_key", "norm2", "t")
-    x, y = verified.alias("x"), verified.alias("y")
-    pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
+    verified = vectors.join(once, "id", "left_semi").select("id", "norm2", "t")
+    pairs = pairs.join(verified.alias("x"), F.col("a") == F.col("x.id")).join(verified.alias("y"), F.col("b") == F.col("y.id"))
     both = let(F.array_intersect("x.t", "y.t"), lambda c: F.struct(F.aggregate(c, F.lit(0.0), lambda acc, e: acc + w2(e)).alias("dot"), F.size(c).alias("n")))
-    pairs = pairs.select("a", "b", _shared("x", "y").alias("shared"), (F.col("x.norm2") * F.col("y.norm2")).alias("norms"), (F.size("x.t") + F.size("y.t")).alias("sizes"), both.alias("both"))
+    pairs = pairs.select("a", "b", (F.col("x.norm2") * F.col("y.norm2")).alias("norms"), (F.size("x.t") + F.size("y.t")).alias("sizes"), both.alias("both"))
     cosine = F.least(F.lit(1.0), F.col("both.dot") / F.sqrt("norms"))
-    jaccard = F.col("both.n") / (F.col("sizes") - F.col("both.n"))
-    score = COSINE * cosine + OVERLAP * jaccard + F.when(F.col("shared"), SHARED).otherwise(0.0)
-    return pairs.select("a", "b", F.least(F.lit(1.0), score).alias("similarity")).where(F.col("similarity") >= threshold)
+    score = COSINE * cosine + OVERLAP * F.col("both.n") / (F.col("sizes") - F.col("both.n"))
+    return found.unionByName(pairs.select("a", "b", F.least(F.lit(1.0), score).alias("similarity"))).where(F.col("similarity") >= threshold)
 
 
-def _alike(vectors: DataFrame, w2: Callable[[Column], Column], needed: float, block: int = BLOCK) -> DataFrame:
-    """a, b: all pairs of one niche or type whose cosine and Jaccard parts may reach `needed`.
+def _alike(vectors: DataFrame, n: int, needed: float, block: int = BLOCK) -> DataFrame:
+    """a, b, part: all pairs of one niche or type whose cosine and Jaccard parts together reach `needed`; those of both stand there twice.
 
     A token counts x = sqrt(0.55 w2 / norm2 + 0.20 / size). As (p + q)(r + s) >= (sqrt(pr) + sqrt(qs))^2, and a Jaccard similarity
     is at most the common tokens over the root of both sizes, the product of two such vectors is never less than the
     two parts; nor is it if tokens share a dimension as the root of their squares' sum. Dense vectors of
     DIMENSIONS, shorter ones first, are multiplied in blocks of about `block` products: each pair of blocks of a niche or type is one group of rows,
-    so one of any size is spread over tasks. What passes is verified exactly by the caller.
+    so one of any size is spread over tasks. What passes is compared exactly where it was found, token by token.
     """
-    x2 = lambda e: COSINE * w2(e) / F.col("norm2") + OVERLAP / F.col("size")
-    dimension = lambda n: F.when(n < OWN, n).otherwise(OWN + F.pmod(n, F.lit(DIMENSIONS - OWN))).cast("int")
-    coded = F.transform("t", lambda e: F.ceil(x2(e) * _UNIT).cast("int") * DIMENSIONS + dimension(_number(e)))  # rounded up
-    packed = vectors.select("id", "niche_key", "type_key", coded.alias("x"))
-    keyed = packed.select("id", "x", F.explode(F.array(F.concat(F.lit("n"), "niche_key"), F.concat(F.lit("t"), "type_key"))).alias("key")).where("key is not null")
-    count = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    placed = keyed.join(count, "key").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = placed.select("key", F.col("at").alias("i"), F.explode(F.sequence("at", F.col("blocks") - 1)).alias("j"), "id", "x")
-    right = placed.where("at > 0").select(F.col("key").alias("key"), F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.col("at").alias("j"), F.col("id").alias("id"), F.col("x").alias("x"))
-    spark = vectors.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)  # named, as their work isn't told by their bytes
-    side = lambda rows: rows.repartition(tasks, "key", "i", "j").groupBy("key", "i", "j")
+    packed = vectors.select("id", "norm2", "t", F.explode(F.array(F.concat(F.lit("n"), "niche_key"), F.concat(F.lit("t"), "type_key"))).alias("key")).where("key is not null")
+    count = packed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    placed = packed.join(count, "key").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = placed.select("key", F.col("at").alias("i"), F.explode(F.sequence("at", F.col("blocks") - 1)).alias("j"), "id", "norm2", "t")
+    right = placed.where("at > 0").select(F.col("key").alias("key"), F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.col("at").alias("j"), *(F.col(c).alias(c) for c in ("id", "norm2", "t")))
+    side = lambda rows: rows.repartition(_tasks(vectors, 16), "key", "i", "j").groupBy("key", "i", "j")
     least = needed - 1e-4  # more than the error of a product of single precision
 
     def meet(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
-        same = key[1].as_py() == key[2].as_py()
-        return _met(one, one if same else other, same, least)
-
-    return side(left).cogroup(side(right)).applyInArrow(meet, "a long, b long")
+        if key[1].as_py() == key[2].as_py():
+            return _compared(_met(*[_weighed(one, n)] * 2, True, least), one, n, needed)
+        return _compared(_met(_weighed(one, n), _weighed(other, n), False, least), pa.concat_tables([one, other]), n, needed)
+
+    return side(left).cogroup(side(right)).applyInArrow(meet, "a long, b long, part double")
+
+
+def _tasks(df: DataFrame, times: int = 4) -> int:
+    """Number of tasks of steps whose work isn't told by the bytes they read, which adaptive execution goes by."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), times * spark.sparkContext.defaultParallelism)
+
+
+def _unpacked(rows: pa.Table | pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the tokens of all rows, one after another, their squared weights, the row of each, and the number of every row."""
+    lists = rows.column("t")
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    codes, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    return codes, (np.log((max(n, 1) + 1.0) / ((codes >> 32) + 1)) + 1) ** 2, np.repeat(np.arange(len(size)), size), size
+
+
+def _weighed(rows: pa.Table, n: int) -> pa.Table:
+    """id, x: dimension of each token and, in units of DIMENSIONS, the square it counts, rounded up."""
+    codes, w2, row, size = _unpacked(rows, n)
+    number = codes & 0xFFFFFFFF
+    x2 = COSINE * w2 / rows.column("norm2").to_numpy()[row] + OVERLAP / size[row]
+    x = np.ceil(x2 * _UNIT).astype(np.int32) * DIMENSIONS + np.where(number < OWN, number, OWN + number % (DIMENSIONS - OWN)).astype(np.int32)
+    return pa.table({"id": rows.column("id"), "x": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), x)})
+
+
+def _compared(pairs: pa.Table, rows: pa.Table, n: int, needed: float, most: int = 20_000) -> pa.Table:
+    """a, b, part: cosine and Jaccard parts of those `pairs` of `rows` that reach `needed`; `most` are compared at a time."""
+    a, b = (pairs.column(c).to_numpy() for c in "ab")
+    part = np.zeros(len(a))
+    if len(a):
+        ids = rows.column("id").to_numpy()
+        kept = np.flatnonzero(np.isin(ids, np.concatenate([a, b])))
+        kept = kept[np.argsort(ids[kept])]
+        ids, rows = ids[kept], rows.take(kept)
+        codes, w2, _, size = _unpacked(rows, n)
+        norm2, first = rows.column("norm2").to_numpy(), np.cumsum(size) - size
+        number = np.unique(codes, return_inverse=True)[1]  # as codes ascend in each row, so do these
+        span = int(number.max()) + 1
+
+        def spread(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Pair and token as one number, ascending, and where the token stands."""
+            length = size[row]
+            pair = np.repeat(np.arange(len(row)), length)
+            at = np.arange(len(pair)) + np.repeat(first[row] - (np.cumsum(length) - length), length)
+            return pair * span + number[at], at
+
+        for k in range(0, len(a), most):
+            i, j = np.searchsorted(ids, a[k : k + most]), np.searchsorted(ids, b[k : k + most])
+            (x, at), (y, _) = spread(i), spread(j)
+            there = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+            pair, common = x[there] // span, at[there]
+            dot, c = np.bincount(pair, w2[common], len(i)), np.bincount(pair, minlength=len(i))
+            part[k : k + most] = COSINE * np.minimum(1.0, dot / np.sqrt(norm2[i] * norm2[j])) + OVERLAP * c / (size[i] + size[j] - c)
+    enough = part >= needed - 1e-9
+    return pa.table({"a": a[enough], "b": b[enough], "part": part[enough]})
 
 
 def _met(one: pa.Table, other: pa.Table, same: bool, least: float, tile: int = 512) -> pa.Table:
@@ -207,26 +300,25 @@ def _met(one: pa.Table, other: pa.Table, same: bool, least: float, tile: int = 5
 
 
 def _alike_anywhere(vectors: DataFrame, w2: Callable[[Column], Column], needed: float) -> DataFrame:
-    """a, b: pairs that may reach `needed` by cosine and Jaccard alone."""
+    """a, b: pairs without common niche or type that may reach `needed` by cosine and Jaccard. Tokens don't travel with the rows, as few pairs are left."""
     first = F.slice("t", 1, F.floor(F.col("size") * F.lit((COSINE + OVERLAP - needed) / OVERLAP) + 1e-9).cast("int") + 1)  # later tokens leave too few for Jaccard
     before = F.aggregate(F.slice("t", 1, F.col("at")), F.lit(0.0), lambda acc, e: acc + w2(e))
-    rows = vectors.select("id", "norm2", "size", "t", *_SKETCH, F.posexplode(first).alias("at", "code")).select(
-        "id", "norm2", "size", "t", *_SKETCH, "code", w2(F.col("code")).alias("w2"), (F.col("norm2") - before).alias("rest2"), (F.col("size") - F.col("at")).alias("rest")
+    kept = ("id", "niche_key", "type_key", "norm2", "size", *_SKETCH)
+    rows = vectors.select(*kept, "t", F.posexplode(first).alias("at", "code")).select(
+        *kept, "code", w2(F.col("code")).alias("w2"), (F.col("norm2") - before).alias("rest2"), (F.col("size") - F.col("at")).alias("rest")
     )
     own = COSINE * F.sqrt(F.col("rest2") / F.col("norm2")) + OVERLAP * F.col("rest") / F.col("size")
     prefix = rows.where((F.shiftright("code", 32) > 1) & (own >= needed - 1e-9))
-    prefix = prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9)
-    side = lambda n: prefix.select("code", F.col("id").alias(n), F.col("near").alias(f"near_{n}"), *(F.col(c).alias(f"{c}_{n}") for c in ("rest2", "norm2", "rest", "size", "w2", "t", *_SKETCH)))
-    differ = F.bit_count(F.col("bits0_a").bitwiseXOR(F.col("bits0_b"))) + F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b")))
-    common = F.least(F.least("rest_a", "rest_b"), F.floor((F.col("size_a") + F.col("size_b") - differ) / 2))
-    dot = F.least(F.least("rest2_a", "rest2_b"), common * F.col("w2_a"))  # no later token weighs more than this one
-    cosine = dot / F.sqrt(F.col("norm2_a") * F.col("norm2_b"))
-    met = side("a").where("near_a").join(side("b"), "code").where("a <> b and (a < b or not near_b)")
-    met = met.where(COSINE * cosine + OVERLAP * common / (F.col("size_a") + F.col("size_b") - common) >= needed - 1e-9)
-    both = let(F.array_intersect("t_a", "t_b"), lambda c: F.struct(F.aggregate(c, F.lit(0.0), lambda acc, e: acc + w2(e)).alias("dot"), F.size(c).alias("n")))
-    score = lambda x: COSINE * x["dot"] / F.sqrt(F.col("norm2_a") * F.col("norm2_b")) + OVERLAP * x["n"] / (F.col("size_a") + F.col("size_b") - x["n"])
-    met = met.where(let(both, score) >= needed - 1e-9)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    prefix = staged(prefix.withColumn("near", COSINE * F.col("rest2") / F.col("norm2") + OVERLAP * F.col("rest") / F.col("size") >= needed - 1e-9), "market-prefix")
+    side = lambda rows: rows.repartition(_tasks(vectors), "code")
+    x, y = side(prefix.where("near")).alias("x"), side(prefix).alias("y")
+    differ = F.bit_count(F.col("x.bits0").bitwiseXOR(F.col("y.bits0"))) + F.bit_count(F.col("x.bits1").bitwiseXOR(F.col("y.bits1")))
+    common = F.least("x.rest", "y.rest", F.floor((F.col("x.size") + F.col("y.size") - differ) / 2))
+    dot = F.least("x.rest2", "y.rest2", common * F.col("x.w2"))  # no later token weighs more than this one
+    cosine = dot / F.sqrt(F.col("x.norm2") * F.col("y.norm2"))
+    met = x.join(y, F.col("x.code") == F.col("y.code")).where("x.id <> y.id and (x.id < y.id or not y.near)")
+    met = met.where(COSINE * cosine + OVERLAP * common / (F.col("x.size") + F.col("y.size") - common) >= needed - 1e-9).where(~_shared("x", "y"))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
 def _shared(x: str, y: str) -> Column:
@@ -331,9 +423,16 @@ def confidences(members: DataFrame, block: int = 512, small: int = SMALL) -> Dat
     blocks of a component being a row of a join that gives one number. A member without tokens is like no other.
     """
     n = members.groupBy("component").agg(F.count("*").alias("n"))
-    told = members.where(F.size("tokens") > 0).join(n.where("n > 1"), "component").select("component", "id", "n", "tokens", F.lower("niche_key").alias("niche_key"), F.nullif("type_key", F.lit("")).alias("type_key"))
+    told = members.where(F.size("tokens") > 0).join(n.where("n > 1"), "component")
+    sure = _confidences(n.where("n > 1"), told, block, small)
+    return n.join(sure, "component", "left").select("component", _or_alone("confidence").alias("confidence"))
+
+
+def _confidences(n: DataFrame, told: DataFrame, block: int = 512, small: int = SMALL) -> DataFrame:
+    """component, confidence of the components of several members, whose numbers are `n`; `told` has the members with tokens."""
+    told = told.select("component", "id", "n", "tokens", F.lower("niche_key").alias("niche_key"), F.nullif("type_key", F.lit("")).alias("type_key"))
     told = staged(told, "market-told")
-    few = told.where(F.col("n") <= small).groupBy("component").agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "niche_key", "type_key")).alias("rows"))
+    few = told.where(F.col("n") <= small).repartition(_tasks(told), "component").groupBy("component").agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "niche_key", "type_key")).alias("rows"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,7 +441,7 @@ def confidences(members: DataFrame, block: int = 512, small: int = SMALL) -> Dat
 
     totals = few.mapInArrow(add, "component long, total double").unionByName(_similarity_sums(told.where(F.col("n") > small), block))
     mean = F.coalesce("total", F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)
-    return n.join(totals, "component", "left").select("component", F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)), 4)).alias("confidence"))
+    return n.join(totals, "component", "left").select("component", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)), 4).alias("confidence"))
 
 
 def _similarities_of(n: int, rows: list[dict]) -> float:
@@ -391,7 +490,7 @@ def _jaccard_sums(told: DataFrame, block: int) -> DataFrame:
             sums = [_jaccard_of(*row) for row in zip(*(c.to_pylist() for c in batch.columns[1:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=["component", "s"])
 
-    return met.mapInArrow(add, "component long, s double").groupBy("component").agg(F.sum("s").alias("jaccard"))
+    return met.repartition(_tasks(told)).mapInArrow(add, "component long, s double").groupBy("component").agg(F.sum("s").alias("jaccard"))
 
 
 def _jaccard_of(same: bool, left: list[dict], right: list[dict]) -> float:
@@ -413,6 +512,38 @@ def _jaccard_of(same: bool, left: list[dict], right: list[dict]) -> float:
     return (total - float(ta.sum())) / 2 if same else total  # in one block each pair stands twice and each member once with itself
 
 
+def _grouped(tokens: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all products, and the confidence of every component of several members.
+
+    Members are compared by the numbers of their tokens; a product without tokens is like no other, and so alone.
+    """
+    vectors, n = _vectors(tokens)
+    edges = staged(_similar(vectors, n, threshold), "market-edges")
+    parts = staged(connected_components(tokens.select(F.col("id").alias("node")), edges), "market-parts")
+    several = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    members = vectors.select("id", F.col("t").alias("tokens"), "niche_key", "type_key").join(parts.join(several, "component"), F.col("id") == F.col("node"))
+    return parts, staged(_confidences(several, members), "market-confidences")
+
+
+def memberships(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int = 2) -> DataFrame:
+    """component, product_id, membership_score: what `markets` gives as memberships, from the tokens alone, without what describes a market."""
+    _check(threshold)
+    tokens = _tokens(products)
+    return _members(tokens, *_grouped(tokens, threshold), minimum_size)
+
+
+def _members(tokens: DataFrame, parts: DataFrame, sure: DataFrame, minimum_size: int) -> DataFrame:
+    found = tokens.select("id").join(parts, F.col("id") == F.col("node")).select("component", F.col("id").alias("product_id"))
+    if minimum_size > 2:  # else every component is kept
+        enough = (F.col("n") >= minimum_size) | (F.col("n") == 1)
+        found = found.join(found.groupBy("component").agg(F.count("*").alias("n")).where(enough), "component", "left_semi")
+    return found.join(sure, "component", "left").select("component", "product_id", _or_alone("confidence").alias("membership_score"))
+
+
+def _or_alone(confidence: str) -> Column:
+    return F.coalesce(confidence, F.lit(1.0))
+
+
 def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int = 2, niches: tuple[str, ...] = NICHES) -> tuple[DataFrame, DataFrame]:
     """(clusters, memberships) of the products. Groups smaller than `minimum_size` are dropped unless they are single.
 
@@ -420,11 +551,8 @@ def markets(products: DataFrame, threshold: float = THRESHOLD, minimum_size: int
     """
     _check(threshold)
     tokens = staged(with_terms(with_tokens(products), niches), "market-terms")
-    edges = staged(_similar(tokens.select("id", "niche_key", "type_key", "tokens"), threshold), "market-edges")
-    parts = connected_components(tokens.select(F.col("id").alias("node")), edges)
+    parts, sure = _grouped(tokens, threshold)
     members = staged(tokens.join(parts, tokens.id == parts.node).drop("node"), "market-members")
     enough = (F.col("product_count") >= minimum_size) | (F.col("product_count") == 1)
-    kept = describe_markets(members).where(enough)
-    sure = staged(confidences(members), "market-confidences")
-    memberships = members.select("component", F.col("id").alias("product_id")).join(members.groupBy("component").agg(F.count("*").alias("product_count")).where(enough), "component", "left_semi").join(sure.withColumnRenamed("confidence", "membership_score"), "component")
-    return kept.join(sure, "component"), memberships
+    kept = describe_markets(members).where(enough).join(sure, "component", "left").withColumn("confidence", _or_alone("confidence"))
+    return kept, _members(tokens, parts, sure, minimum_size)

@@ -180,10 +180,12 @@ def g_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c_tokens(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
     return M.with_tokens(table(spark, d, "products")).select("id", F.explode("tokens").alias("token"))
 
 
 def c_idf(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
     return M.document_frequencies(M.with_tokens(table(spark, d, "products")))
 
 
@@ -207,7 +209,7 @@ def c_markets(spark: SparkSession, d: str) -> DataFrame:
 def c_memberships(spark: SparkSession, d: str) -> DataFrame:
     """Every product with its market and the score of its membership."""
     ship_package(spark)
-    return M.markets(table(spark, d, "products"))[1].select("component", "product_id", "membership_score")
+    return M.memberships(table(spark, d, "products")).select("component", "product_id", "membership_score")
 
 
 def k_concentration(spark: SparkSession, d: str) -> DataFrame:

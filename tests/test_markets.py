@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from marketloom.operators import markets as markets_module
 from marketloom.operators import components as components_module
 from marketloom.operators.components import connected_components
-from marketloom.operators.markets import _met, confidences, markets, similar_products, with_terms, with_tokens
+from marketloom.functions.listing import NOISE, PROMOTIONAL, words
+from marketloom.operators.markets import _alike, _met, _vectors, confidences, markets, memberships, similar_products, with_terms, with_tokens
 
 SCHEMA = "id bigint, product_name string, niche string, category string, product_type string, keywords array<string>, description string, tokens int, df int"
 
@@ -165,3 +166,37 @@ def test_niches_come_from_the_taxonomy_given(spark):
     df = products(spark, [(1, "Reef tank dosing planner", None, None, None, ["coral"], None)])
     assert with_terms(with_tokens(df), ("coral", "reef")).first().niche_terms == ["coral", "reef"]
     assert with_terms(with_tokens(df)).first().niche_terms == []
+
+
+def test_memberships_without_terms(spark, monkeypatch):
+    """The memberships are those of the markets; no terms of members are found for them and products that stand alone are not compared."""
+    df = products(spark, invented(200) + [(900 + i, None, "alone", None, None, None, None) for i in range(3)])
+    for size in (2, 4):
+        want = {tuple(r) for r in markets(df, minimum_size=size)[1].select("component", "product_id", "membership_score").collect()}
+        written, write = {}, markets_module.staged
+        with monkeypatch.context() as m:
+            m.setattr(markets_module, "staged", lambda rows, name: written.setdefault(name, write(rows, name)))
+            got = [tuple(r) for r in memberships(df, minimum_size=size).select("component", "product_id", "membership_score").collect()]
+        assert set(got) == want and len(got) == len(want) and "market-terms" not in written
+        parts = [r.component for r in written["market-parts"].collect()]
+        assert written["market-told"].count() == sum(parts.count(c) > 1 for c in parts) < len(parts) == 204
+
+
+def test_pairs_are_compared_where_they_are_found(spark, monkeypatch):
+    """Only pairs that reach what is needed leave the blocks, and tokens that are joined get what tokens at hand get."""
+    tokens = with_tokens(products(spark, invented())).select("id", "niche_key", "type_key", "tokens").cache()
+    vectors, n = _vectors(tokens)
+    found = [(r.a, r.b, round(r.part + 0.25, 9)) for r in _alike(vectors, n, 0.4).collect()]
+    want = {(r.a, r.b): round(r.similarity, 9) for r in similar_products(products(spark, invented()), 0.65).collect()}
+    assert {p[:2] for p in found} <= set(want) and all(want[a, b] == min(1, s) for a, b, s in found) and len(found) > 50
+    monkeypatch.setattr(markets_module, "COMMON", 7)
+    few = {r.id: (sorted(c >> 32 for c in r.t), round(r.norm2, 6)) for r in _vectors(tokens)[0].collect()}
+    assert few == {r.id: (sorted(c >> 32 for c in r.t), round(r.norm2, 6)) for r in vectors.collect()} and len(few) == 150
+
+
+def test_tokens_as_words(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aieses s1y-é\u0130b S") for _ in range(60)) for _ in range(300)] + ["the Classes for bakeries, PDF ties", "", None]
+    df = products(spark, [(i, t, None, None, None, [t, "x"], t) for i, t in enumerate(texts)])
+    want = F.array_distinct(F.filter(words(F.concat_ws(" ", "product_name", "keywords", "description")), lambda t: ~t.isin(*PROMOTIONAL, *NOISE)))
+    assert {r.id: r.tokens for r in with_tokens(df).collect()} == {r.id: r.w for r in df.select("id", want.alias("w")).collect()}
